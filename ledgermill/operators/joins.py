@@ -71,6 +71,7 @@ def keyed_join(
     spread: Sequence[str] | None = None,
     residual: Column | None = None,
     null_safe: bool = False,
+    profile: DataFrame | None = None,
     share: float = HEAVY_SHARE,
     min_rows: int = HEAVY_ROWS,
     force_salt: bool = False,
@@ -81,7 +82,9 @@ def keyed_join(
     whose hash spreads the rows of one heavy key (default: all of them, so equal
     rows stay together and a retried task repeats its choice). The right side
     is repeated per salt only for heavy keys. Key columns of the result come
-    from the left. With ``null_safe`` two nulls are equal.
+    from the left. With ``null_safe`` two nulls are equal. ``profile`` is a cheaper frame
+    with the left side's key columns; heavy keys are then looked for there, which
+    saves computing a left side that is itself the result of joins twice.
     """
     tag = uuid.uuid4().hex[:8]
     key_names = {k: f"_k_{k}_{tag}" for k in on}
@@ -102,7 +105,8 @@ def keyed_join(
     else:
         salt_left, salt_right = f"_sl_{tag}", f"_sr_{tag}"
         hash_col, count_col = f"_h_{tag}", f"_n_{tag}"
-        heavy = heavy_keys(left, F.xxhash64(*on), share, min_rows)
+        source = left if profile is None else profile
+        heavy = heavy_keys(source, F.xxhash64(*on), share, min_rows)
         heavy = F.broadcast(heavy.toDF(hash_col, count_col))
         salts = F.coalesce(count_col, F.lit(1).cast("bigint"))
         spread_hash = F.xxhash64(*(spread or left.columns))
