@@ -172,11 +172,12 @@ def dup_by_vendor_date_amount(drafts: DataFrame, bills: DataFrame) -> DataFrame:
     return joined.drop(*_AMOUNT_KEYS)
 
 
-def duplicate_bills(drafts: DataFrame, bills: DataFrame) -> DataFrame:
+def duplicate_bills(drafts: DataFrame, bills: DataFrame, position: str | None = None) -> DataFrame:
     """Drafts with the first bill in scan order that matches by number or by amount.
 
     Adds duplicate_of and duplicate_rule (null where there is no duplicate). ``bills``
-    needs bill_id, ord, vendor_name, txn_date, doc_number and total.
+    needs bill_id, ord, vendor_name, txn_date, doc_number and total. ``position`` names a
+    column for the found bill's ord.
     """
     amounts = _amount_keys(drafts)
     found = amount_matches(amounts.filter(F.col("total").isNotNull()), bills)
@@ -203,6 +204,7 @@ def duplicate_bills(drafts: DataFrame, bills: DataFrame) -> DataFrame:
         both.withColumn("_first", first)
         .withColumn("duplicate_of", F.col("_first.bill"))
         .withColumn("duplicate_rule", F.col("_first.rule"))
+        .withColumns({position: F.col("_first.ord")} if position else {})
         .drop("_first", "num_ord", "num_bill", "amt_ord", "amt_bill")
     )
 

@@ -109,16 +109,8 @@ def _pair_condition(t: float) -> Column:
     return kind & _length_ok(t) & first_common & (bound > t - _EPS)
 
 
-def fuzzy_best(
-    probes: DataFrame, masters: DataFrame, threshold: float, **join_options
-) -> DataFrame:
-    """Best master per probe: (a, b, ord, ratio).
-
-    ``probes`` has the column ``a``; ``masters`` has ``b`` and ``ord``. Only ratios strictly
-    above ``threshold`` count; the highest wins, the smallest ``ord`` on ties.
-    """
-    probes = probes.select("a").distinct()
-    masters = masters.groupBy("b").agg(F.min("ord").alias("ord"))
+def _indexed(probes: DataFrame, masters: DataFrame, threshold: float) -> tuple[DataFrame, DataFrame]:
+    """Both sides with one row per rare token, written to the shared folder."""
     masters = cut_lineage(masters)
     probe_tokens = cut_lineage(_tokens(probes.withColumnRenamed("a", "s"), threshold))
     master_tokens = cut_lineage(_tokens(masters.select(F.col("b").alias("s")), threshold))
@@ -132,7 +124,35 @@ def fuzzy_best(
     right = cut_lineage(
         keyed_join(_index(_prefixes(master_tokens, frequency), "b"), masters, ["b"], "inner")
     )
+    return left, right
+
+
+def similar_pairs(
+    probes: DataFrame, masters: DataFrame, threshold: float, **join_options
+) -> DataFrame:
+    """All (a, b, ord, ratio) with a ratio above ``threshold``.
+
+    For master sets whose members are unlike one another, where a probe has few hits.
+    """
+    left, right = _indexed(probes, masters, threshold)
+    pairs = keyed_join(
+        left, right, ["kind", "token"], "inner", residual=_pair_condition(threshold), **join_options
+    )
+    scored = pairs.select("a", "b", "ord").withColumn("ratio", similarity("a", "b"))
+    return scored.filter(F.col("ratio") > threshold)
 
+
+def fuzzy_best(
+    probes: DataFrame, masters: DataFrame, threshold: float, **join_options
+) -> DataFrame:
+    """Best master per probe: (a, b, ord, ratio).
+
+    ``probes`` has the column ``a``; ``masters`` has ``b`` and ``ord``. Only ratios strictly
+    above ``threshold`` count; the highest wins, the smallest ``ord`` on ties.
+    """
+    probes = probes.select("a").distinct()
+    masters = masters.groupBy("b").agg(F.min("ord").alias("ord"))
+    left, right = _indexed(probes, masters, threshold)
     bound = ratio_bound(F.col("a_chars"), F.col("b_chars"))
     condition = _pair_condition(threshold)
     # Pass 1: the most promising master per probe. The join feeds a partial
@@ -142,10 +162,9 @@ def fuzzy_best(
     seeds = seeds.select("a", similarity("a", "b").alias("reached"))
     reached = cut_lineage(seeds.withColumn("reached", F.greatest("reached", F.lit(threshold))))
     # Pass 2: only pairs whose bound is not below what the probe has reached.
-    left = keyed_join(left, reached, ["a"], "inner")
     pairs = keyed_join(
-        left, right, ["kind", "token"], "inner",
-        residual=condition & (bound >= F.col("reached") - _EPS), **join_options,
+        keyed_join(left, reached, ["a"], "inner"), right, ["kind", "token"], "inner",
+        residual=condition & (bound >= F.col("reached") - _EPS), profile=left, **join_options,
     )
     scored = pairs.select("a", "b", "ord").withColumn("ratio", similarity("a", "b"))
     return best_per_key(scored.filter(F.col("ratio") > threshold), ["a"], "ratio", ["ord"])

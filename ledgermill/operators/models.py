@@ -106,28 +106,31 @@ def classify_messages(messages: DataFrame, make_model: ModelFactory | None = Non
 # --- invoices ----------------------------------------------------------------------
 
 
+def _opened(answers: DataFrame, schema: str) -> DataFrame:
+    """(message_id, answer, payload columns): each answer is parsed exactly once.
+
+    ``inline`` is a generator, which the optimizer neither repeats per field nor
+    moves filters through.
+    """
+    payload = F.inline(F.array(F.from_json("answer", schema)))
+    return answers.select("message_id", "answer", payload)
+
+
 def parse_invoices(answers: DataFrame) -> DataFrame:
     """(message_id, answer JSON) to payload columns and ``errors``.
 
     ``errors`` is empty for a valid payload; anything else is for quarantine.
     """
-    payload = F.from_json("answer", INVOICE_PAYLOAD)
-    parsed = answers.select("message_id", "answer", payload.alias("p"))
-    lines = F.col("p.line_items")
+    lines = F.col("line_items")
     checks = [
         (F.col("answer").isNull(), "no answer"),
-        (blank_string(F.col("p.vendor_display_name")), "vendor_display_name is required"),
+        (F.col("vendor_display_name").isNull(), "vendor_display_name is required"),
         (lines.isNull(), "line_items is required"),
         (F.exists(lines, lambda x: x["item"].isNull()), "line item without item"),
         (F.exists(lines, lambda x: x["rate"].isNull()), "line item without rate"),
         (F.exists(lines, lambda x: F.coalesce(x["quantity"] <= 0, F.lit(False))), "quantity must be greater than 0"),
     ]
-    return parsed.select("message_id", "p.*", _errors(checks).alias("errors"))
-
-
-def blank_string(c: Column) -> Column:
-    """Missing only; an empty string is a string."""
-    return c.isNull()
+    return _opened(answers, INVOICE_PAYLOAD).withColumn("errors", _errors(checks)).drop("answer")
 
 
 def _errors(checks: list[tuple[Column, str]]) -> Column:
@@ -186,8 +189,9 @@ def extract_invoice_json(text: Column) -> Column:
     pattern = r"(?m)^([^|\n]+)\|[ \t]*([0-9.]+)[ \t]*\|[ \t]*\$?([0-9.]+)[ \t]*\|[ \t]*([^|\n]*)$"
     rows = F.regexp_extract_all(text, F.lit(pattern), F.lit(0))
 
-    def line(row: Column) -> Column:
-        cells = F.transform(F.split(row, r"\|"), strip)
+    split_rows = F.transform(rows, lambda row: F.transform(F.split(row, r"\|"), strip))
+
+    def line(cells: Column) -> Column:
         return F.struct(
             F.get(cells, F.lit(0)).alias("item"),
             F.replace(F.get(cells, F.lit(2)), F.lit("$"), F.lit("")).cast("double").alias("rate"),
@@ -199,7 +203,7 @@ def extract_invoice_json(text: Column) -> Column:
     return F.to_json(
         F.struct(
             *fields,
-            F.transform(rows, line).alias("line_items"),
+            F.transform(split_rows, line).alias("line_items"),
             _stated_number(text, "Tax").alias("tax"),
             _stated_number(text, "Total").alias("total_amount"),
             text.rlike(r"\bPAID\b|\bSOLD ON\b").alias("is_receipt"),
@@ -229,18 +233,14 @@ def shipping_required(carrier: Column, tracking_number: Column, order_number: Co
 
 def parse_shipments(answers: DataFrame) -> DataFrame:
     """(message_id, answer JSON) to shipping columns, has_reference and errors."""
-    parsed = answers.select("message_id", "answer", F.from_json("answer", SHIPPING_PAYLOAD).alias("p"))
-    items = F.coalesce(F.col("p.items"), F.array().cast("array<struct<description:string,quantity:double,weight:string>>"))
+    none = F.array().cast("array<struct<description:string,quantity:double,weight:string>>")
+    parsed = _opened(answers, SHIPPING_PAYLOAD).withColumn("items", F.coalesce("items", none))
     checks = [
         (F.col("answer").isNull(), "no answer"),
-        (F.exists(items, lambda x: x["description"].isNull()), "shipped item without description"),
+        (F.exists("items", lambda x: x["description"].isNull()), "shipped item without description"),
     ]
-    return parsed.select(
-        "message_id",
-        "p.*",
-        shipping_required(F.col("p.carrier"), F.col("p.tracking_number"), F.col("p.order_number")).alias("has_reference"),
-        _errors(checks).alias("errors"),
-    ).withColumn("items", F.coalesce("items", F.array().cast("array<struct<description:string,quantity:double,weight:string>>")))
+    reference = shipping_required(F.col("carrier"), F.col("tracking_number"), F.col("order_number"))
+    return parsed.withColumns({"has_reference": reference, "errors": _errors(checks)}).drop("answer")
 
 
 _DATE = "[0-9]{1,2}/[0-9]{1,2}/[0-9]{4}"
@@ -286,20 +286,20 @@ def extract_shipments(messages: DataFrame, make_model: ModelFactory | None = Non
 
 def parse_client_notes(answers: DataFrame) -> DataFrame:
     """(message_id, answer JSON) to client note columns and errors."""
-    parsed = answers.select("message_id", "answer", F.from_json("answer", CLIENT_PAYLOAD).alias("p"))
     none = F.array().cast("array<string>")
-    urgency = F.col("p.urgency")
+    urgency = F.col("urgency")
     checks = [
         (F.col("answer").isNull(), "no answer"),
-        (F.col("p.summary").isNull(), "summary is required"),
+        (F.col("summary").isNull(), "summary is required"),
         (urgency.isNotNull() & ~urgency.isin(*URGENCIES), "urgency must be low, medium or high"),
     ]
-    return (
-        parsed.select("message_id", "p.*", _errors(checks).alias("errors"))
-        .withColumn("action_items", F.coalesce("action_items", none))
-        .withColumn("key_dates", F.coalesce("key_dates", none))
-        .withColumn("response_needed", F.coalesce("response_needed", F.lit(False)))
-    )
+    filled = {
+        "action_items": F.coalesce("action_items", none),
+        "key_dates": F.coalesce("key_dates", none),
+        "response_needed": F.coalesce("response_needed", F.lit(False)),
+        "errors": _errors(checks),
+    }
+    return _opened(answers, CLIENT_PAYLOAD).withColumns(filled).drop("answer")
 
 
 def extract_client_note_json(text: Column) -> Column:
