@@ -173,9 +173,11 @@ def post_in_order(
         }
     )
     facts = ["status", "vendor_name", "vendor_match"]
+    resolved = None
     while True:
         created = state.filter((F.col("status") == "created") & ~receipt)
-        resolved = cut_lineage(_resolve(active, registered, threshold))
+        if resolved is None:
+            resolved = cut_lineage(_resolve(active, registered, threshold))
         checked_bills = _earlier_duplicate(resolved.filter(~receipt), created)
         receipts = resolved.filter(receipt).withColumns(
             {c: F.lit(None).cast("string") for c in ("duplicate_of", "duplicate_rule")}
@@ -191,10 +193,12 @@ def post_in_order(
         for c in facts:
             same = same & F.col(c).eqNullSafe(F.col(f"old_{c}"))
         moved = keyed_join(after, before, ["message_id"], "left").filter(~same)
-        stable = moved.isEmpty() and _same_rows(now, registered)
-        state, registered = after, cut_lineage(now)
-        if stable:
+        unchanged = _same_rows(now, registered)
+        if unchanged and moved.isEmpty():
             break
+        state = after
+        if not unchanged:
+            registered, resolved = cut_lineage(now), None
 
     final_bills = state.filter((F.col("status") == "created") & ~receipt)
     repeats = _earlier_duplicate(passive.filter(~receipt), final_bills).unionByName(

@@ -304,6 +304,14 @@ add("duplicate_bills", ORDERS, BILLS, """
   from dr left join nm using (message_id) left join am using (message_id)""")
 add("bill_purchase_reconcile", ORDERS, BILLS, """
   select message_id txn_id, cast(k as varchar) matched_bill from dr left join am using (message_id)""")
+add("post_in_order", ORDERS, """d as (
+  select *, case when o_orderstatus <> 'F' and o_orderpriority <> '5-LOW' then
+      min(case when o_orderstatus <> 'F' and o_orderpriority <> '5-LOW' then o_orderkey end)
+        over (partition by c_custkey) end first_key from o)""", """
+  select cast(o_orderkey as varchar) message_id,
+    case when first_key < o_orderkey then 'duplicate' else 'created' end status,
+    case when first_key < o_orderkey then cast(first_key as varchar) end duplicate_of,
+    case when first_key < o_orderkey then 'number' end duplicate_rule from d""")
 HELD = "held as (select distinct invoice_number num from drafts where is_receipt and invoice_number <> '')"
 add("tracker_exists", ORDERS, DRAFTS, HELD, """
   select message_id, num is not null as exists from drafts left join held on num = invoice_number""")

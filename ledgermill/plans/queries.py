@@ -16,6 +16,7 @@ from ..operators import ledger as L
 from ..operators import models as M
 from ..operators import resolve as R
 from ..operators import trackers as K
+from ..operators.inorder import post_in_order as post_batch
 from ..operators.joins import keyed_join
 from ..session import fresh_path
 from ..sources import documents as docs
@@ -438,6 +439,23 @@ def _tracker(spark: SparkSession, sf: str) -> DataFrame:
     return V.drafts(spark, sf).filter("is_receipt").select(F.col("invoice_number").alias("po_number"))
 
 
+@query
+def post_in_order(spark, sf):
+    """All orders as one batch; a customer's drafts share a number, so the first one wins."""
+    rows = V.orders_with_customer(spark, sf)
+    drafts = rows.select(
+        V.text("o_orderkey").alias("message_id"), F.col("o_orderkey").alias("arrival"),
+        F.col("c_name").alias("vendor_display_name"),
+        F.when(F.col("o_orderpriority") != "5-LOW", F.concat(F.lit("INV-"), V.text("c_custkey"))).alias("invoice_number"),
+        F.date_format("o_orderdate", "MM/dd/yyyy").alias("invoice_date"),
+        F.col("o_totalprice").alias("total_amount"), F.col("o_totalprice").alias("lines_total"),
+        (F.col("o_orderstatus") == "F").alias("is_receipt"),
+    )
+    no_bills = D.with_totals(V.bills(spark, sf), V.bill_lines(spark, sf)).filter(F.lit(False))
+    posted = post_batch(drafts, no_bills, V.vendors(spark, sf))
+    return posted.select("message_id", "status", "duplicate_of", "duplicate_rule")
+
+
 @query
 def tracker_exists(spark, sf):
     return D.tracker_exists(V.drafts(spark, sf), _tracker(spark, sf)).select("message_id", "exists")
