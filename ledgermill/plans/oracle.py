@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 from ..functions.rules import CATEGORY_RULES
-from ..operators.models import LABEL_RULES
+from ..operators.models import AUTOMATED, LABEL_RULES, phrase_pattern
 from .views import CATEGORY_TEXTS
 
 ORACLES: dict[str, str] = {}
@@ -504,8 +504,10 @@ ORACLES["register_vendors"] = f"""with fuzzy as ({ORACLES['vendor_fuzzy']})
 
 TURNS = """m as (select 'c-' || conv_id || '-' || turn message_id, text from conversations
   union all select 'd' || doc_id, text from documents)"""
-_CASES = " ".join(f"when regexp_matches(text, {_text(p)}) then '{label}'" for label, p in LABEL_RULES)
-add("classify_messages", TURNS, f"select message_id, case {_CASES} else 'none' end label from m")
+_CASES = " ".join(f"when regexp_matches(lower(text), {_text(phrase_pattern(p))}) then '{label}'" for label, p in LABEL_RULES)
+add("classify_messages", TURNS, f"""
+  select message_id, case when regexp_matches(lower(text), {_text(AUTOMATED)}) then 'none' {_CASES}
+    when contains(text, '?') then 'client_communications' else 'none' end label from m""")
 add("classify_with_model", TURNS, """
   select message_id, case length(text) % 3 when 0 then 'invoice' when 1 then 'shipping' end label from m""")
 add("extract_invoice", ORDERS, """

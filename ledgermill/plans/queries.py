@@ -18,7 +18,7 @@ from ..operators import resolve as R
 from ..operators import trackers as K
 from ..operators.inorder import post_in_order as post_batch
 from ..operators.joins import keyed_join
-from ..session import fresh_path
+from ..session import cut_lineage, fresh_path
 from ..sources import documents as docs
 from ..sources import masters, messages, processed
 from ..streaming import ingest
@@ -400,7 +400,7 @@ def vendor_fuzzy(spark, sf):
 
 def _shifted_drafts(spark: SparkSession, sf: str) -> tuple[DataFrame, DataFrame]:
     """Posted bills with totals, and drafts that repeat them with shifted amounts."""
-    bills = D.with_totals(V.bills(spark, sf), V.bill_lines(spark, sf))
+    bills = cut_lineage(D.with_totals(V.bills(spark, sf), V.bill_lines(spark, sf)))
     status, priority = F.col("o_orderstatus"), F.col("o_orderpriority")
     shift = F.when(status == "F", 0.0).when(status == "P", 0.004).otherwise(0.02)
     day = F.to_date("txn_date")
@@ -445,7 +445,7 @@ def post_in_order(spark, sf):
     rows = V.orders_with_customer(spark, sf)
     drafts = rows.select(
         V.text("o_orderkey").alias("message_id"), F.col("o_orderkey").alias("arrival"),
-        F.col("c_name").alias("vendor_display_name"),
+        F.concat_ws(" ", "c_mktsegment", F.lit("Works"), "c_nationkey").alias("vendor_display_name"),
         F.when(F.col("o_orderpriority") != "5-LOW", F.concat(F.lit("INV-"), V.text("c_custkey"))).alias("invoice_number"),
         F.date_format("o_orderdate", "MM/dd/yyyy").alias("invoice_date"),
         F.col("o_totalprice").alias("total_amount"), F.col("o_totalprice").alias("lines_total"),
@@ -760,7 +760,8 @@ def property_values(spark, sf):
 
 @query
 def html_to_text(spark, sf):
-    return V.table(spark, sf, "pages").select("page_id", T.html_to_text(F.col("html")).alias("text"))
+    pages = V.texts(spark, sf, "pages", "page_id", "html")
+    return pages.select("page_id", T.html_to_text(F.col("html")).alias("text"))
 
 
 @query

@@ -9,6 +9,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..operators.joins import keyed_join
+from ..session import spread
 
 # Category texts a part may carry; chosen by its size.
 CATEGORY_TEXTS = (
@@ -22,6 +23,11 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def texts(spark: SparkSession, sf_dir: str, name: str, *columns: str) -> DataFrame:
+    """Chosen columns of a table whose rows need much work each."""
+    return spread(table(spark, sf_dir, name).select(*columns))
+
+
 def text(c: str) -> Column:
     return F.col(c).cast("string")
 
@@ -263,7 +269,8 @@ def document_mail(spark: SparkSession, sf_dir: str) -> DataFrame:
         name.alias("name"), content.alias("content_b64"), inline.alias("is_inline")
     )
     content = F.base64(F.encode("text", "UTF-8"))
-    return table(spark, sf_dir, "documents").select(
+    rows = texts(spark, sf_dir, "documents", "doc_id", "source", "text", "lang")
+    return rows.select(
         text("doc_id").alias("message_id"),
         F.col("source").alias("subject"),
         F.lit("text").alias("body_type"),
@@ -282,7 +289,7 @@ def document_mail(spark: SparkSession, sf_dir: str) -> DataFrame:
 def page_mail(spark: SparkSession, sf_dir: str) -> DataFrame:
     """HTML messages: one per page."""
     nothing = F.lit(None)
-    return table(spark, sf_dir, "pages").select(
+    return texts(spark, sf_dir, "pages", "page_id", "url", "html").select(
         F.concat(F.lit("p"), text("page_id")).alias("message_id"),
         F.col("url").alias("subject"),
         F.lit("html").alias("body_type"),
@@ -332,15 +339,16 @@ def mime_mail(spark: SparkSession, sf_dir: str) -> DataFrame:
             parts.alias("parts"),
         )
     )
-    return table(spark, sf_dir, "documents").select(text("doc_id").alias("message_id"), root.alias("payload"))
+    rows = texts(spark, sf_dir, "documents", "doc_id", "source", "text", "lang")
+    return rows.select(text("doc_id").alias("message_id"), root.alias("payload"))
 
 
 def conversation_mail(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Plain messages: one per conversation turn and one per document."""
-    turns = table(spark, sf_dir, "conversations").select(
+    turns = texts(spark, sf_dir, "conversations", "conv_id", "turn", "text").select(
         F.concat_ws("-", F.lit("c"), "conv_id", "turn").alias("message_id"), "text"
     )
-    docs = table(spark, sf_dir, "documents").select(F.concat(F.lit("d"), text("doc_id")).alias("message_id"), "text")
+    docs = texts(spark, sf_dir, "documents", "doc_id", "text").select(F.concat(F.lit("d"), text("doc_id")).alias("message_id"), "text")
     return turns.unionByName(docs)
 
 
@@ -378,7 +386,7 @@ def shipments(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def shipping_texts(spark: SparkSession, sf_dir: str) -> DataFrame:
-    s = shipments(spark, sf_dir)
+    s = spread(shipments(spark, sf_dir))
     return s.select(
         "message_id",
         F.concat(
@@ -394,7 +402,7 @@ def shipping_texts(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def invoice_texts(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Plain-text invoices: one per order."""
-    return orders_with_customer(spark, sf_dir).select(
+    return spread(orders_with_customer(spark, sf_dir)).select(
         text("o_orderkey").alias("message_id"),
         F.concat(
             F.lit("Vendor: "), "c_name",

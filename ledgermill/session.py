@@ -53,6 +53,16 @@ def fresh_path(spark: SparkSession, name: str) -> str:
     return os.path.join(shared_dir(spark), "ledgermill", f"{name}-{uuid.uuid4().hex}")
 
 
+def spread(df: DataFrame) -> DataFrame:
+    """Spread a scan that has fewer splits than the cluster has cores.
+
+    For work that is heavy per row, such as regular expressions over long texts. A table
+    of many files already has enough splits and is returned as it is, without a shuffle.
+    """
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return df.repartition(cores) if df.rdd.getNumPartitions() < cores else df
+
+
 def cut_lineage(df: DataFrame) -> DataFrame:
     """Write ``df`` to the shared folder and read it back.
 
