@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.scalars import blank, normalize_date, present
+from ..session import cut_lineage
 from .joins import first_per_key, keyed_join
 
 TOLERANCE = 0.01
@@ -167,7 +168,8 @@ def dup_by_vendor_date_amount(drafts: DataFrame, bills: DataFrame) -> DataFrame:
     null), the amount lies strictly within the tolerance of the bill's total.
     """
     keyed = _amount_keys(drafts)
-    found = amount_matches(keyed.filter(F.col("total").isNotNull()), bills)
+    # Written out, so that its real size decides how it is joined.
+    found = cut_lineage(amount_matches(keyed.filter(F.col("total").isNotNull()), bills))
     joined = keyed_join(keyed, found, _AMOUNT_KEYS, "left", null_safe=True)
     return joined.drop(*_AMOUNT_KEYS)
 
@@ -180,7 +182,7 @@ def duplicate_bills(drafts: DataFrame, bills: DataFrame, position: str | None =
     column for the found bill's ord.
     """
     amounts = _amount_keys(drafts)
-    found = amount_matches(amounts.filter(F.col("total").isNotNull()), bills)
+    found = cut_lineage(amount_matches(amounts.filter(F.col("total").isNotNull()), bills))
     numbers = first_bill_by_number(bills)
     keyed = amounts.withColumn("_number", present(F.col("invoice_number")))
     both = keyed_join(
@@ -236,6 +238,6 @@ def bill_purchase_reconcile(purchases: DataFrame, bills: DataFrame) -> DataFrame
     keyed = purchases.withColumns(
         {"vendor": F.col("party"), "date": F.col("txn_date"), "total": F.col("total_amt")}
     )
-    found = amount_matches(keyed.filter(F.col("total").isNotNull()), bills)
+    found = cut_lineage(amount_matches(keyed.filter(F.col("total").isNotNull()), bills))
     joined = keyed_join(keyed, found, ["vendor", "date", "total"], "left", null_safe=True)
     return joined.drop("vendor", "date", "total", "amt_ord").withColumnRenamed("amt_bill", "matched_bill")

@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 from pyspark.sql.types import StructType
 
-from ..functions.scalars import label_category
+from ..functions.scalars import label_category, normalize_date
 from ..operators.trackers import route
 from ..schemas import MESSAGES
 from ..session import fresh_path
@@ -105,5 +105,43 @@ def duplicate_sink(
     return handle
 
 
+def posting_sink(
+    base: str, bills: DataFrame, vendors: DataFrame,
+    post: Callable[[DataFrame, DataFrame, DataFrame], DataFrame],
+) -> Callable[[DataFrame, int], None]:
+    """A handler that posts each batch in order, on top of what earlier batches created.
+
+    ``post`` takes drafts, bills and vendors, as ``post_in_order`` does. Only folders of
+    earlier batches are read, so a retried batch does not meet its own first try.
+    """
+
+    def handle(batch: DataFrame, batch_id: int) -> None:
+        spark = batch.sparkSession
+        known_bills, known_vendors = bills, vendors
+        if batch_id > 0:
+            done = read_checked(spark, base).filter(
+                (F.col("batch") < batch_id) & (F.col("status") == "created")
+            )
+            # Positions continue after the existing rows, batch by batch.
+            position = F.col("batch") * (1 << 40) + F.col("arrival") + (1 << 50)
+            known_bills = bills.unionByName(
+                done.filter(~F.col("is_receipt")).select(
+                    F.col("message_id").alias("bill_id"), position.alias("ord"), "vendor_name",
+                    normalize_date(F.col("invoice_date")).alias("txn_date"),
+                    F.col("invoice_number").alias("doc_number"), F.col("lines_total").alias("total"),
+                )
+            )
+            known_vendors = vendors.unionByName(
+                done.filter(F.col("vendor_match") == "new")
+                .groupBy(F.col("vendor_name").alias("display_name"))
+                .agg(F.min(position).alias("ord"))
+                .select(F.concat(F.lit("new-"), F.col("ord").cast("string")).alias("vendor_id"), "ord", "display_name")
+            )
+        posted = post(batch, known_bills, known_vendors)
+        posted.write.mode("overwrite").parquet(f"{base}/checked/batch={batch_id}")
+
+    return handle
+
+
 def read_checked(spark: SparkSession, base: str) -> DataFrame:
     return spark.read.option("basePath", f"{base}/checked").parquet(f"{base}/checked/*")
