@@ -10,6 +10,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.scalars import address_key, blank, strip
+from ..session import cut_lineage
 from .containment import first_host, first_probe_inside
 from .fuzzy import fuzzy_best
 from .joins import best_per_key, first_per_key, keyed_join
@@ -70,10 +71,10 @@ def resolve_vendors(
     A new vendor has no id yet and carries the draft's name as it is.
     """
     names = drafts.select(F.col("vendor_display_name").alias("name")).distinct()
-    exact = vendor_exact(names, vendors)
+    exact = cut_lineage(vendor_exact(names, vendors))
     rest = exact.filter(F.col("master_id").isNull()).select("name")
     fuzzy = vendor_fuzzy(rest, vendors, threshold)
-    found = (
+    found = cut_lineage(
         exact.filter(F.col("master_id").isNotNull())
         .select("name", "master_id", "master_name", F.lit("exact").alias("kind"))
         .unionByName(fuzzy.select("name", "master_id", "master_name", F.lit("fuzzy").alias("kind")))
@@ -171,7 +172,7 @@ def resolve_customers(
         drafts.filter(blank(F.col("customer_name")) & ~blank(F.col("job_site_address")))
         .select(F.col("job_site_address").alias("address")).distinct()
     )
-    contained = customer_by_address(addresses, customers)
+    contained = cut_lineage(customer_by_address(addresses, customers))
     rest = keyed_join(addresses, contained.select("address"), ["address"], "left_anti")
     similar = customer_fuzzy(rest, customers, threshold)
 
@@ -179,7 +180,7 @@ def resolve_customers(
     keyed = drafts.withColumn("_by", F.when(~blank(F.col("customer_name")), "name").when(
         ~blank(F.col("job_site_address")), "address"
     )).withColumn("_key", F.coalesce(F.nullif("customer_name", F.lit("")), F.nullif("job_site_address", F.lit(""))))
-    answers = (
+    answers = cut_lineage(
         by_name.select(F.lit("name").alias("_by"), F.col("name").alias("_key"),
                        "master_id", "master_name", F.lit("name").alias("customer_match"))
         .unionByName(contained.select(F.lit("address").alias("_by"), F.col("address").alias("_key"),

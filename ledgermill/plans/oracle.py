@@ -323,7 +323,7 @@ add("new_to_tracker", ORDERS, DRAFTS, HELD, """b as (
 add("default_bank_account", """
   select cast(n_nationkey as varchar) bank_account_id, n_name bank_account_name from nation
   where n_regionkey in (1, 2) order by n_nationkey limit 1""")
-add("category_accounts", LINES, RULES, """
+add("category_to_account", LINES, RULES, """
   select message_id, item, category, account_id from lines join category_map using (category)""")
 
 # --- aggregations ---------------------------------------------------------------------------------
@@ -494,7 +494,7 @@ def _fuzzy(name: str, threshold: float, column: str, master: str, lowered: bool)
 
 _fuzzy("vendor_fuzzy", 0.8, "name", "vendor", False)
 _fuzzy("customer_fuzzy", 0.7, "address", "customer", True)
-ORACLES["similarity_ratio"] = f"""with recursive pairs as (select distinct {ALTERED} a, p_name b from part),
+ORACLES["similarity"] = f"""with recursive pairs as (select distinct {ALTERED} a, p_name b from part),
     {RATIO} select a, b, round(ratio, 6) ratio from ratios"""
 ORACLES["register_vendors"] = f"""with fuzzy as ({ORACLES['vendor_fuzzy']})
     select distinct {ALTERED} display_name from part

@@ -7,10 +7,10 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..functions import rules
 from ..functions import scalars as S
+from ..functions import similarity as fuzzy_text
 from ..functions import text as T
-from ..functions.rules import category_to_account
-from ..functions.similarity import similarity
 from ..operators import duplicates as D
 from ..operators import ledger as L
 from ..operators import models as M
@@ -491,9 +491,9 @@ def bill_purchase_reconcile(spark, sf):
 
 
 @query
-def category_accounts(spark, sf):
+def category_to_account(spark, sf):
     return V.draft_lines(spark, sf).select(
-        "message_id", "item", "category", category_to_account(F.col("category")).alias("account_id")
+        "message_id", "item", "category", rules.category_to_account(F.col("category")).alias("account_id")
     )
 
 
@@ -778,9 +778,9 @@ def format_address(spark, sf):
 
 
 @query
-def similarity_ratio(spark, sf):
+def similarity(spark, sf):
     pairs = V.table(spark, sf, "part").select(_altered_name().alias("a"), F.col("p_name").alias("b")).distinct()
-    return pairs.select("a", "b", F.round(similarity("a", "b"), 6).alias("ratio"))
+    return pairs.select("a", "b", F.round(fuzzy_text.similarity("a", "b"), 6).alias("ratio"))
 
 
 @query

@@ -137,20 +137,21 @@ def test_models(spark):
 
 
 SENTENCES = {
-    "Please find attached invoice #1234 for services rendered.": "invoice",
-    "Payment is due for the work completed on the Johnson project. Total: $4,500.00. Please remit by March 15.": "invoice",
-    "Your order has shipped! Tracking number: 1Z999AA10123456784. Estimated delivery: March 5, 2026.": "shipping",
-    "Your package was delivered at 2:30 PM.": "shipping",
-    "Freight shipment update: your lumber order departed the warehouse and is en route.": "shipping",
-    "Attached is the updated Certificate of Insurance. General liability coverage: $2,000,000.": "insurance",
-    "We have received your workers compensation claim.": "insurance",
-    "Your commercial auto policy is up for renewal on April 1, 2026.": "insurance",
-    "Hi, just wanted to give you an update on the kitchen remodel.": "client_communications",
-    "Can we schedule a walkthrough on Thursday at 10am? Let me know if that works.": "client_communications",
-    "What color tile did we decide on for the master bathroom?": "client_communications",
-    "HUGE SALE! 50% off all power tools this weekend only! Click here to shop now!": "none",
-    "Weekly Construction Industry Digest: Top 10 trends.": "none",
+    "Our bill for March is enclosed, see invoice 77.": "invoice",
+    "The amount due on the Miller job is $310.20; kindly remit soon.": "invoice",
+    "Good news: parcel shipped today, tracking 1Z0000000001.": "shipping",
+    "The crate has been delivered to the side gate.": "shipping",
+    "Courier note: pallet is en route to your yard.": "shipping",
+    "New certificate of insurance with liability limits enclosed.": "insurance",
+    "Your workers comp claim is with an adjuster now.": "insurance",
+    "The fleet policy expires in April.": "insurance",
+    "Short update: the kitchen cabinets go in on Monday.": "client_communications",
+    "Could we set a walkthrough for Thursday? Let me know.": "client_communications",
+    "Which tile is it for the bathroom?": "client_communications",
+    "Only today 40% off every saw, click here!": "none",
+    "The monthly trade newsletter is out.": "none",
     "Someone created/updated a $500 invoice": "none",
+    "Overpaidness is not a word here": "none",
     "": "none",
 }
 
