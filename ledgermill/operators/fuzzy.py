@@ -64,7 +64,12 @@ def _tokens(strings: DataFrame, t: float) -> DataFrame:
         )
     )
     both = parts[0] if len(parts) == 1 else parts[0].unionByName(parts[1])
-    return both.select("s", "kind", F.size("all").alias("n"), "need", F.explode("all").alias("token"))
+    # An outer explode: for an inner one the optimizer adds a filter on the array and
+    # moves it down, which would build the array a second time below the distinct.
+    rows = both.select(
+        "s", "kind", F.size("all").alias("n"), "need", F.explode_outer("all").alias("token")
+    )
+    return rows.filter(F.col("token").isNotNull())
 
 
 def _prefixes(tokens: DataFrame, frequency: DataFrame) -> DataFrame:
@@ -111,7 +116,7 @@ def _pair_condition(t: float) -> Column:
 
 def _indexed(probes: DataFrame, masters: DataFrame, threshold: float) -> tuple[DataFrame, DataFrame]:
     """Both sides with one row per rare token, written to the shared folder."""
-    masters = cut_lineage(masters)
+    probes, masters = cut_lineage(probes), cut_lineage(masters)
     probe_tokens = cut_lineage(_tokens(probes.withColumnRenamed("a", "s"), threshold))
     master_tokens = cut_lineage(_tokens(masters.select(F.col("b").alias("s")), threshold))
     # How rare a token is among the masters decides how many rows a probe meets.

@@ -76,16 +76,19 @@ def explode_lines(drafts: DataFrame, carry: list[str], with_tax: bool = True) ->
 def ledger_lines(lines: DataFrame, carry: list[str], default_account: str = DEFAULT_ACCOUNT) -> DataFrame:
     """Detail lines: amount, account and description of flat draft lines.
 
-    ``lines`` has item, rate, quantity and category, and optionally is_tax. Everything is
-    computed in the row; no join is needed.
+    ``lines`` has item, rate, quantity and category, and optionally is_tax. Where it has
+    an account_id already (found once per category or product, say), that is taken.
+    Everything is computed in the row; no join is needed.
     """
     is_tax = F.col("is_tax") if "is_tax" in lines.columns else F.lit(False)
+    if "account_id" in lines.columns:
+        account = F.col("account_id")
+    else:
+        account = category_to_account(F.col("category"), default_account)
     return lines.select(
         *carry,
         line_amount(F.col("rate"), F.col("quantity")).alias("amount"),
-        F.when(is_tax, F.lit(default_account))
-        .otherwise(category_to_account(F.col("category"), default_account))
-        .alias("account_id"),
+        F.when(is_tax, F.lit(default_account)).otherwise(account).alias("account_id"),
         F.when(is_tax, F.lit(TAX_TEXT))
         .otherwise(line_description(F.col("item"), F.col("quantity"), F.col("rate")))
         .alias("description"),

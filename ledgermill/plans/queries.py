@@ -18,7 +18,7 @@ from ..operators import resolve as R
 from ..operators import trackers as K
 from ..operators.inorder import post_in_order as post_batch
 from ..operators.joins import keyed_join
-from ..session import cut_lineage, fresh_path
+from ..session import cut_lineage, fresh_path, spread
 from ..sources import documents as docs
 from ..sources import masters, messages, processed
 from ..streaming import ingest
@@ -492,7 +492,7 @@ def bill_purchase_reconcile(spark, sf):
 
 @query
 def category_to_account(spark, sf):
-    return V.draft_lines(spark, sf).select(
+    return spread(V.draft_lines(spark, sf)).select(
         "message_id", "item", "category", rules.category_to_account(F.col("category")).alias("account_id")
     )
 

@@ -8,6 +8,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..functions.rules import category_to_account
 from ..operators.joins import keyed_join
 from ..session import spread
 
@@ -120,7 +121,10 @@ def drafts(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def draft_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """One line per lineitem with the part as item, its price as rate."""
+    """One line per lineitem with the part as item, its price as rate.
+
+    The category belongs to the part, so its account is found per part, not per line.
+    """
     lines = table(spark, sf_dir, "lineitem").select(
         text("l_orderkey").alias("message_id"),
         F.col("l_partkey").alias("p_partkey"),
@@ -130,6 +134,7 @@ def draft_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     parts = table(spark, sf_dir, "part").select(
         "p_partkey", F.col("p_name").alias("item"), F.col("p_retailprice").alias("rate"),
         category_of_part().alias("category"),
+        category_to_account(category_of_part()).alias("account_id"),
     )
     return keyed_join(lines, parts, ["p_partkey"], "inner", spread=["message_id", "quantity", "l_extendedprice"]).drop("p_partkey")
 
