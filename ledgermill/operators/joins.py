@@ -78,9 +78,10 @@ def keyed_join(
 ) -> DataFrame:
     """Join ``left`` to ``right`` on equal columns ``on``; ``left`` may be skewed.
 
-    ``how`` is inner, left, left_semi or left_anti. ``spread`` names the left columns
-    whose hash spreads the rows of one heavy key (default: all of them, so equal
-    rows stay together and a retried task repeats its choice). The right side
+    ``how`` is inner, left, left_semi or left_anti. The rows of one heavy key are spread
+    by the hash of the left columns ``spread`` (default: all) and the number of the input
+    partition, so copies of one row are spread too and a retried task repeats its choice.
+    The right side
     is repeated per salt only for heavy keys. Key columns of the result come
     from the left. With ``null_safe`` two nulls are equal. ``profile`` is a cheaper frame
     with the left side's key columns; heavy keys are then looked for there, which
@@ -112,7 +113,10 @@ def keyed_join(
         spread_hash = F.xxhash64(*(spread or left.columns))
         left = (
             left.join(heavy, F.xxhash64(*on) == F.col(hash_col), "left")
-            .withColumn(salt_left, F.pmod(spread_hash, salts))
+            .withColumn(
+                # Reduced first, so that adding the partition cannot overflow.
+                salt_left, F.pmod(F.pmod(spread_hash, salts) + F.spark_partition_id(), salts)
+            )
             .drop(hash_col, count_col)
         )
         right = (

@@ -32,6 +32,9 @@ def build_session(master: str | None = None, app: str = "ledgermill", **conf: st
     return builder.getOrCreate()
 
 
+_scratch: dict[str, str] = {}
+
+
 def shared_dir(spark: SparkSession) -> str:
     """Folder every executor can reach: the one named in ``spark.checkpoint.dir``.
 
@@ -39,13 +42,14 @@ def shared_dir(spark: SparkSession) -> str:
     own; on a cluster that would be a machine-local folder, so it is refused.
     """
     configured = spark.conf.get("spark.checkpoint.dir", None)
-    if not configured:
-        if not spark.sparkContext.master.startswith("local"):
-            raise ValueError("set spark.checkpoint.dir to a folder shared by all executors")
-        configured = tempfile.mkdtemp(prefix="ledgermill-")
-        spark.conf.set("spark.checkpoint.dir", configured)
-        spark.sparkContext.setCheckpointDir(configured)
-    return configured
+    if configured:
+        return configured
+    if not spark.sparkContext.master.startswith("local"):
+        raise ValueError("set spark.checkpoint.dir to a folder shared by all executors")
+    application = spark.sparkContext.applicationId
+    if application not in _scratch:
+        _scratch[application] = tempfile.mkdtemp(prefix="ledgermill-")
+    return _scratch[application]
 
 
 def fresh_path(spark: SparkSession, name: str) -> str:

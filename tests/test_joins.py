@@ -47,6 +47,16 @@ def test_heavy_keys_are_few_and_right(sides):
     assert nulls not in hashes or hashes[nulls] >= 1
 
 
+def test_copies_of_a_heavy_row_are_spread(spark):
+    # Without room for another name, all left rows are equal; only the partition tells them apart.
+    left = spark.range(0, 400, 1, 8).select(F.lit(0).alias("k"))
+    right = spark.createDataFrame([(0, "v")], "k int, v string")
+    joined = keyed_join(left, right, ["k"], "inner", share=0.05, min_rows=10, force_salt=True)
+    assert joined.count() == 400
+    text = joined._jdf.queryExecution().executedPlan().toString()
+    assert "SPARK_PARTITION_ID" in text
+
+
 def test_large_side_is_not_broadcast(spark, sides):
     left, right = sides
     old = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
