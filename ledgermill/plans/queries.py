@@ -612,7 +612,7 @@ def ledger(spark, sf):
 
 @query
 def nested_ledger_lines(spark, sf):
-    exploded = L.explode_lines(V.nested_drafts(spark, sf), ["message_id"])
+    exploded = L.explode_lines(spread(V.nested_drafts(spark, sf)), ["message_id"])
     rows = L.ledger_lines(exploded, ["message_id", "pos"])
     return rows.withColumn("amount", money("amount", 4))
 
