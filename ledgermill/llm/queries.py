@@ -113,16 +113,14 @@ with p as (
   select page_id, coalesce(html, '') as html, sha1(coalesce(html, '')) as h from pages
 ), b as (
   select page_id, html, h, max(page_id) over (partition by html) as largest,
-    list_transform(range(40), i -> instr('0123456789abcdef', substr(h, i + 1, 1)) - 1) as d
+    [instr('0123456789abcdef', substr(h, i + 1, 1)) - 1 for i in range(40)] as d
   from p
 ), v as (
-  select *, list_transform(range(8),
-    i -> d[5*i+1]*65536 + d[5*i+2]*4096 + d[5*i+3]*256 + d[5*i+4]*16 + d[5*i+5]) as w from b
+  select *, [d[5*i+1]*65536 + d[5*i+2]*4096 + d[5*i+3]*256 + d[5*i+4]*16 + d[5*i+5] for i in range(8)] as w from b
 )
 select page_id, cast(strlen(html) as bigint) as payload_bytes,
-  array_to_string(list_transform(range(32), k ->
-    substr('ABCDEFGHIJKLMNOPQRSTUVWXYZ234567',
-      1 + cast(w[k // 4 + 1] // cast(pow(32, 3 - k % 4) as bigint) % 32 as int), 1)), '') as payload_digest,
+  array_to_string([substr('ABCDEFGHIJKLMNOPQRSTUVWXYZ234567',
+      1 + cast(w[k // 4 + 1] // cast(pow(32, 3 - k % 4) as bigint) % 32 as int), 1) for k in range(32)], '') as payload_digest,
   case when page_id = largest then 'response' else 'revisit' end as record_type,
   case when page_id <> largest then largest end as refers_to
 from v
