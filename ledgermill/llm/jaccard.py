@@ -11,8 +11,8 @@ Two texts link when 100 * |A & B| >= 80 * |A | B| over their sets of distinct 5-
   only where the passage is nearly all they have.
 * The boundary between small and large is the size with the least estimated number of rows.
 * Within a list every set is first tried with one member only. Pairs that this leaves in
-  different components are then all tried: a bound from 1,024-bit parity sketches first, the
-  exact intersection last. No pair that could still join two components goes untested.
+  different components are then all tried: a bound from parity sketches first, the exact
+  intersection last. No pair that could still join two components goes untested.
 """
 
 from __future__ import annotations
@@ -27,8 +27,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ledgermill.llm import kernels as K
-from ledgermill.llm.frames import bitmap_of, components
-from ledgermill.session import cut_lineage
+from ledgermill.llm.frames import bitmap_of, components, cut, drop
 
 #: A list with more members than this is long: its shingle goes to the end of the order.
 LONG_LIST = 16
@@ -36,7 +35,6 @@ LONG_LIST = 16
 LARGEST_SMALL = 24
 #: Cost of a row that is scanned and may need checking, in rows of a listed subset.
 SCAN_COST = 4
-_SKETCH = 1024
 
 
 def needed(s: int) -> int:
@@ -50,17 +48,15 @@ def needed_both(s: int, t: int) -> int:
 
 def _kept(s: int) -> int:
     prefix = s - needed(s) + 1
-    return s if s <= LARGEST_SMALL else min(s, prefix + prefix // 4 + 8)
+    return s if s <= LARGEST_SMALL else min(s, prefix + prefix // 6 + 6)
 
 
-def _sketches(sets: list[np.ndarray]) -> list[np.ndarray]:
-    """Parity of the number of shingles per slot, as 16 longs."""
-    sizes = [len(x) for x in sets]
-    flat = np.concatenate(sets).view(np.uint64) if sets else np.zeros(0, np.uint64)
-    slot = (flat >> np.uint64(20)) & np.uint64(_SKETCH - 1)
-    at = np.repeat(np.arange(len(sets)), sizes) * _SKETCH + slot.astype(np.int64)
-    odd = (np.bincount(at, minlength=len(sets) * _SKETCH) & 1).astype(np.uint8)
-    return list(np.packbits(odd.reshape(len(sets), _SKETCH), axis=1).view(np.int64))
+def _sketch(x: np.ndarray) -> np.ndarray:
+    """Parity of the number of shingles per slot, as longs; a power of two of slots, at least one each."""
+    bits = max(256, 1 << (len(x) - 1).bit_length()) if len(x) else 256
+    slot = ((x.view(np.uint64) >> np.uint64(20)) & np.uint64(bits - 1)).astype(np.int64)
+    odd = (np.bincount(slot, minlength=bits) & 1).astype(np.uint8)
+    return np.packbits(odd, bitorder="little").view(np.int64)
 
 
 _SET_ROW = (
@@ -79,7 +75,7 @@ def _describe(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                     pa.array(sizes),
                     pa.array(nodes),
                     K.ragged([x[: _kept(len(x))] for x in sets], pa.int64()),
-                    K.ragged(_sketches(sets), pa.int64()),
+                    K.ragged([_sketch(x) for x in sets], pa.int64()),
                 ],
                 names=["doc_id", "n_shingles", "node", "shingles", "sketch"],
             )
@@ -208,24 +204,34 @@ def verified(pairs: DataFrame, reps: DataFrame, texts: DataFrame) -> DataFrame:
     def side(name: str) -> DataFrame:
         return reps.select(F.col("node").alias(name), *[F.col(c).alias(f"{name}_{c}") for c in about])
 
+    def half(sketch: Column) -> Column:
+        """The same sketch with half as many slots."""
+        n = F.size(sketch).cast("int")
+        low, high = F.slice(sketch, F.lit(1), (n / 2).cast("int")), F.slice(sketch, (n / 2).cast("int") + 1, n)
+        return F.zip_with(low, high, lambda a, b: a.bitwiseXOR(b))
+
+    # Sizes that fit differ by a quarter at most, so slots by a factor of two at most.
+    u, v = F.col("u_sketch"), F.col("v_sketch")
+    u, v = F.when(F.size(u) > F.size(v), half(u)).otherwise(u), F.when(F.size(v) > F.size(u), half(v)).otherwise(v)
     differ = F.aggregate(
-        F.zip_with("u_sketch", "v_sketch", lambda a, b: F.bit_count(a.bitwiseXOR(b))),
-        F.lit(0), lambda total, x: total + x,
+        F.zip_with(u, v, lambda a, b: F.bit_count(a.bitwiseXOR(b))), F.lit(0), lambda total, x: total + x
     )
     sizes = F.col("u_n_shingles") + F.col("v_n_shingles")
-    close = cut_lineage(
+    close = cut(
         pairs.join(side("u"), "u").join(side("v"), "v")
-        .filter(_sizes_fit(F.col("u_n_shingles"), F.col("v_n_shingles")) & (differ * 9 <= sizes))
+        .filter(_sizes_fit(F.col("u_n_shingles"), F.col("v_n_shingles")))
+        .filter(differ * 9 <= sizes)
         .select("u", "v", "u_doc_id", "v_doc_id", "u_n_shingles", "v_n_shingles")
     )
     ends = F.array(*[F.struct(F.col(c).alias("node"), F.col(f"{c}_doc_id").alias("doc_id")) for c in "uv"])
-    wanted = cut_lineage(close.select(F.inline(ends)).distinct())
-    sets = cut_lineage(whole_sets(texts, wanted))
-    both = close.join(
+    wanted = cut(close.select(F.inline(ends)).distinct())
+    sets = cut(whole_sets(texts, wanted))
+    linked = cut(close.join(
         sets.select(F.col("node").alias("u"), F.col("shingles").alias("u_set")), "u"
     ).join(sets.select(F.col("node").alias("v"), F.col("shingles").alias("v_set")), "v")
-    shared = F.size(F.array_intersect("u_set", "v_set"))
-    return cut_lineage(both.filter(shared * 9 >= sizes * 4).select("u", "v"))
+    .filter(F.size(F.array_intersect("u_set", "v_set")) * 9 >= sizes * 4).select("u", "v"))
+    drop(close, wanted, sets)
+    return linked
 
 
 #: Length of the part of a set that its partners must meet: s - needed(s) + 1.
@@ -233,15 +239,16 @@ _PREFIX = "n_shingles - (n_shingles * 4 + 4) div 5 + 1"
 
 
 def list_rows(reps: DataFrame, texts: DataFrame, smallest: int) -> DataFrame:
-    """(token, node, n_shingles): members of the inverted lists.
+    """(token, node, n_shingles, reread, own): members of the inverted lists.
 
     Long lists are told by an exact count. A set with a long list's shingle among its first ones
-    takes later shingles instead; where those kept do not suffice, its whole set is read again.
+    takes later shingles instead; where those kept do not suffice, its whole set is read again. Two sets
+    that were read again meet in lists of their own (``own``) only.
     """
     prefix = F.expr(_PREFIX)
     reps = reps.filter(F.col("n_shingles") >= smallest)
     rows = reps.select("node", "n_shingles", F.posexplode("shingles").alias("rank", "token"))
-    shared = cut_lineage(rows.groupBy("token").agg(F.count(F.lit(1)).alias("n")).filter("n > 1"))
+    shared = cut(rows.groupBy("token").agg(F.count(F.lit(1)).alias("n")).filter("n > 1"))
     long_tokens = shared.filter(F.col("n") > LONG_LIST).select("token")
     touched = (
         rows.join(long_tokens, "token")
@@ -250,18 +257,32 @@ def list_rows(reps: DataFrame, texts: DataFrame, smallest: int) -> DataFrame:
     )
     n_long = F.size("long_ranks")
     too_few = (F.col("kept") - n_long < prefix) & (F.col("kept") < F.col("n_shingles"))
-    touched = cut_lineage(touched.withColumn("reread", too_few))
+    touched = cut(touched.withColumn("reread", too_few))
     again = touched.filter("reread").select("node", "doc_id", "n_shingles")
-    ranked = F.sort_array(F.collect_list(F.struct(F.col("long").isNotNull().alias("long"), "token")))
-    whole = cut_lineage(
+    full = cut(
         whole_sets(texts, again).join(again.drop("doc_id"), "node")
         .select("node", "n_shingles", F.explode("shingles").alias("token"))
-        .join(long_tokens.withColumn("long", F.lit(True)), "token", "left")
-        .groupBy("node", "n_shingles").agg(ranked.alias("ranked"))
-        .select("node", "n_shingles", F.inline(F.slice("ranked", F.lit(1), prefix.cast("int"))))
-        .select("token", "node", "n_shingles")
     )
-    unseen = whole.select("token", F.lit(0).cast("long").alias("n"))
+    # Among themselves the sets read again are ordered by exact frequency, in lists of their own.
+    rare = full.groupBy("token").agg(F.count(F.lit(1)).alias("m"))
+    by_length = F.sort_array(F.collect_list(F.struct(F.col("long").isNotNull().alias("long"), "token")))
+    by_count = F.sort_array(F.collect_list(F.struct("m", "token")))
+    first = lambda ranked: F.slice(ranked, F.lit(1), prefix.cast("int"))
+    places = F.concat(
+        F.transform(first("met"), lambda x: F.struct(x["token"].alias("token"), F.lit(False).alias("own"))),
+        F.transform(
+            F.filter(first("own"), lambda x: x["m"] > 1),
+            lambda x: F.struct(F.xxhash64(x["token"], F.lit(1)).alias("token"), F.lit(True).alias("own")),
+        ),
+    )
+    whole = cut(
+        full.join(long_tokens.withColumn("long", F.lit(True)), "token", "left").join(rare, "token")
+        .groupBy("node", "n_shingles").agg(by_length.alias("met"), by_count.alias("own"))
+        .select("node", "n_shingles", F.inline(places))
+        .select("token", "node", "n_shingles", F.lit(True).alias("reread"), "own")
+    )
+    drop(full)
+    unseen = whole.filter("not own").select("token", F.lit(0).cast("long").alias("n"))
     tokens = shared.unionByName(unseen).groupBy("token").agg(F.max("n").alias("n"))
     met = (
         rows.join(tokens, "token")
@@ -272,14 +293,19 @@ def list_rows(reps: DataFrame, texts: DataFrame, smallest: int) -> DataFrame:
         F.coalesce("long_ranks", F.array().cast("array<int>")), lambda r: r < F.col("rank")
     ))
     place = F.when(F.col("n") > LONG_LIST, F.col("kept") - n_long + ahead).otherwise(F.col("rank") - ahead)
-    return met.filter(place < prefix).select("token", "node", "n_shingles").unionByName(whole)
+    met = met.filter(place < prefix).select(
+        "token", "node", "n_shingles", F.lit(False).alias("reread"), F.lit(False).alias("own")
+    )
+    lists = cut(met.unionByName(whole))
+    drop(shared, touched, whole)
+    return lists
 
 
 def link_components(reps: DataFrame, texts: DataFrame) -> DataFrame:
     """(node, component) of every class with a partner."""
     few = reps.filter(F.col("n_shingles") <= LARGEST_SMALL).groupBy("n_shingles").count().collect()
     limit = boundary({r["n_shingles"]: r["count"] for r in few})
-    lists = cut_lineage(list_rows(reps, texts, needed(limit + 1)))
+    lists = list_rows(reps, texts, needed(limit + 1))
 
     heads = lists.groupBy("token").agg(F.min("node").alias("v"), F.max("node").alias("last"))
     met = (
@@ -287,10 +313,10 @@ def link_components(reps: DataFrame, texts: DataFrame) -> DataFrame:
         .groupBy(F.col("node").alias("u"), "v").agg(F.count(F.lit(1)).alias("n"))
     )
     tries = met.groupBy("u").agg(F.max_by("v", F.struct("n", "v")).alias("v"))
-    found = cut_lineage(verified(tries, reps, texts).unionByName(small_links(reps, limit)))
-    parts = cut_lineage(components(found))
+    found = cut(verified(tries, reps, texts).unionByName(small_links(reps, limit)))
+    parts = cut(components(found))
 
-    placed = cut_lineage(
+    placed = cut(
         lists.join(parts, "node", "left")
         .withColumn("component", F.coalesce("component", "node"))
     )
@@ -302,17 +328,18 @@ def link_components(reps: DataFrame, texts: DataFrame) -> DataFrame:
     left_open = placed.join(open_lists, "token")
     other = left_open.select(
         "token", F.col("node").alias("v"), F.col("n_shingles").alias("v_n"),
-        F.col("component").alias("v_component"),
+        F.col("component").alias("v_component"), F.col("reread").alias("v_reread"),
     )
     pairs = (
         left_open.withColumnRenamed("node", "u").join(other, "token")
-        .filter("u < v and component <> v_component")
+        .filter("u < v and component <> v_component and (own or not (reread and v_reread))")
         .filter(_sizes_fit(F.col("n_shingles"), F.col("v_n")))
         .select("u", "v").distinct()
     )
     late = verified(pairs, reps, texts)
-    joined = found.unionByName(late)
-    return components(joined)
+    joined = components(found.unionByName(late))
+    drop(lists, parts, placed)
+    return joined
 
 
 def near_duplicates(docs: DataFrame) -> DataFrame:
@@ -323,15 +350,18 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
     columns of ``docs`` are ignored; an empty table gives an empty result.
     """
     texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
-    sets = cut_lineage(texts.mapInArrow(_describe, _SET_ROW))
+    sets = cut(texts.mapInArrow(_describe, _SET_ROW))
+    rows = cut(sets.select("doc_id", "n_shingles", "node"))
     usable = sets.filter("doc_id is not null and n_shingles > 0")
     # The row with the smallest id stands for its class; reduced before the shuffle.
     row = F.struct("doc_id", "n_shingles", "shingles", "sketch")
-    reps = cut_lineage(
+    reps = cut(
         usable.groupBy("node").agg(F.min_by(row, "doc_id").alias("row")).select("node", "row.*")
     )
-    parts = cut_lineage(link_components(reps, texts.filter("doc_id is not null")))
-    members = sets.select("doc_id", "n_shingles", "node").join(parts, "node", "left")
+    drop(sets)
+    parts = cut(link_components(reps, texts.filter("doc_id is not null")))
+    drop(reps)
+    members = rows.join(parts, "node", "left")
     alone = F.when((F.col("n_shingles") > 0) & F.col("doc_id").isNotNull(), F.coalesce("component", "node"))
     members = members.withColumn("label", alone)
     roots = members.filter("label is not null").groupBy("label").agg(F.min("doc_id").alias("root"))

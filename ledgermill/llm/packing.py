@@ -21,7 +21,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ledgermill.llm import kernels as K
-from ledgermill.session import cut_lineage
+from ledgermill.llm.frames import cut as cut_table
 
 CAPACITY = 2048
 #: Pieces of one length that one task numbers.
@@ -316,7 +316,7 @@ def pack(
     """
     spark = docs.sparkSession
     # Written once: the numbers below must not change when a task is run again.
-    cut = cut_lineage(
+    cut = cut_table(
         pieces(docs, path, capacity, with_ids).withColumn("row", F.monotonically_increasing_id())
     )
     counts = {r["length"]: r["count"] for r in cut.groupBy("length").count().collect()}
