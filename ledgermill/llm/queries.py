@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ledgermill.llm import chat, jaccard, packing, url_rules, warc
+from ledgermill.llm import ann, chat, jaccard, langid, packing, quality, url_rules, warc
 from ledgermill.session import fresh_path
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -125,3 +125,19 @@ select page_id, cast(strlen(html) as bigint) as payload_bytes,
   case when page_id <> largest then largest end as refers_to
 from v
 """
+
+
+@query
+def op5_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality.score(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
+@query
+def op6_language(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return langid.identify(table(spark, sf_dir, "documents"))
+
+
+@query
+def op4_nearest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    vectors = table(spark, sf_dir, "embeddings")
+    return ann.search(vectors, vectors.filter("vec_id % 50 = 0"))
