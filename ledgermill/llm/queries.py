@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ledgermill.llm import ann, chat, jaccard, langid, packing, quality, url_rules, warc
+from ledgermill.llm import ann, chat, jaccard, langid, packing, quality, secret_scan, url_rules, warc
 from ledgermill.session import fresh_path
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -141,3 +141,8 @@ def op6_language(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op4_nearest(spark: SparkSession, sf_dir: str) -> DataFrame:
     vectors = table(spark, sf_dir, "embeddings")
     return ann.search(vectors, vectors.filter("vec_id % 50 = 0"))
+
+
+@query
+def op8_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return secret_scan.scan(table(spark, sf_dir, "documents"))
