@@ -123,20 +123,21 @@ def train(docs: DataFrame, labels: DataFrame) -> tuple[tuple[bytes, bytes], floa
     return dictionaries, *_fit(np.concatenate(x), np.concatenate(y), np.concatenate(weight))
 
 
-def _score(dictionaries: tuple[bytes, bytes], slope: float, intercept: float):
+def _values(texts: pa.Array, model) -> np.ndarray:
+    dictionaries, slope, intercept = model
+    raw = [t or b"" for t in texts.cast(pa.binary()).to_pylist()]
+    return 1 / (1 + np.exp(-np.clip(slope * differences(raw, dictionaries) + intercept, -30, 30)))
+
+
+def accepted(docs: DataFrame, labels: DataFrame) -> DataFrame:
+    """The documents that score 0.5 or more, with all their columns; see :func:`score`."""
+    model = train(docs, labels)
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            texts = [t or b"" for t in batch.column("text").cast(pa.binary()).to_pylist()]
-            score = 1 / (1 + np.exp(-np.clip(slope * differences(texts, dictionaries) + intercept, -30, 30)))
-            yield pa.RecordBatch.from_arrays(
-                [
-                    batch.column("doc_id"), batch.column("held_out"),
-                    pa.array(score), pa.array((score >= 0.5).astype(np.int32)),
-                ],
-                names=["doc_id", "held_out", "score", "predicted"],
-            )
+            yield batch.filter(pa.array(_values(batch.column("text"), model) >= 0.5))
 
-    return run
+    return docs.mapInArrow(run, docs.schema)
 
 
 def score(docs: DataFrame, labels: DataFrame) -> DataFrame:
@@ -151,4 +152,16 @@ def score(docs: DataFrame, labels: DataFrame) -> DataFrame:
         F.col("doc_id").cast("long").alias("doc_id"), held_out(F.col("doc_id")).alias("held_out"),
         F.col("text").cast("string").alias("text"),
     )
-    return rows.mapInArrow(_score(*model), _COLUMNS)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            value = _values(batch.column("text"), model)
+            yield pa.RecordBatch.from_arrays(
+                [
+                    batch.column("doc_id"), batch.column("held_out"),
+                    pa.array(value), pa.array((value >= 0.5).astype(np.int32)),
+                ],
+                names=["doc_id", "held_out", "score", "predicted"],
+            )
+
+    return rows.mapInArrow(run, _COLUMNS)

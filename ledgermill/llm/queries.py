@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ledgermill.llm import ann, chat, jaccard, langid, packing, quality, secret_scan, url_rules, warc
+from ledgermill.llm import ann, chat, decontam, jaccard, langid, packing, quality, secret_scan, url_rules, warc
 from ledgermill.session import fresh_path
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -146,3 +146,8 @@ def op4_nearest(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def op8_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return secret_scan.scan(table(spark, sf_dir, "documents"))
+
+
+@query
+def op1_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return decontam.contaminated(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
