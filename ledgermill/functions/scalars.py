@@ -103,7 +103,8 @@ def number_text(c: Column) -> Column:
     scientific = F.concat(
         mantissa,
         F.when(power < 0, "e-").otherwise("e+"),
-        F.lpad(F.abs(power).cast("string"), 2, "0"),
+        F.when(F.abs(power) < 10, "0").otherwise(""),
+        F.abs(power).cast("string"),
     )
     return (
         F.when(~text.contains("E"), text)

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from html.entities import html5, name2codepoint
+from html.entities import html5
 
 from pyspark.sql import Column
 from pyspark.sql import functions as F
@@ -14,36 +14,48 @@ _HIDDEN = ("script", "style", "template")
 
 _SPACE = " \\t\\n\\r\\f\\x0b\\x1c-\\x1f\\x85\\xa0"
 _BREAK = "\x01"
+# A bare "<" is text; only a letter, "/", "!" or "?" after it opens a tag.
+_TAG = "<[a-zA-Z/!?][^>]*>"
 
-# Named character references, commonest first since the lookup scans in order.
+# Named character references of the HTML standard, commonest first since the lookup scans in order.
 _COMMON = ("amp", "lt", "gt", "quot", "nbsp", "copy", "middot")
-_CODES = {**name2codepoint, "apos": ord("'"), "AMP": 38, "LT": 60, "GT": 62, "QUOT": 34, "COPY": 169, "REG": 174}
-_NAMES = [*_COMMON, *(n for n in sorted(_CODES) if n not in _COMMON)]
+_CHARS = {n.removesuffix(";"): c for n, c in html5.items()}
+_NAMES = [*_COMMON, *(n for n in sorted(_CHARS) if n not in _COMMON)]
+# Numbers from 128 to 159 are read as Windows-1252, as browsers do.
+_WINDOWS = {n: bytes([n]).decode("cp1252", "ignore") or chr(n) for n in range(128, 160)}
 # Names that are also read without their semicolon, longest first.
 _BARE = "|".join(sorted((n for n in html5 if not n.endswith(";")), key=lambda n: (-len(n), n)))
 
 
+def _number(digits: Column, base: int, most: int) -> Column:
+    """Code point of digits with any leading zeros; U+FFFD for 0, surrogates and what is too large."""
+    bare = F.regexp_replace(digits, "^0+(?=.)", "")
+    code = F.when(F.length(bare) <= most, F.conv(bare, base, 10).cast("int"))
+    valid = ((code > 0) & (code < 0xD800)) | ((code > 0xDFFF) & (code <= 0x10FFFF))
+    return F.when(valid, code).otherwise(0xFFFD)
+
+
 def _decode_entities(text: Column) -> Column:
     """Named, decimal and hexadecimal character references to characters, in one pass."""
-    names = F.create_map(*[x for n in _NAMES for x in (F.lit(n), F.lit(chr(_CODES[n])))])
+    names = F.create_map(*[x for n in _NAMES for x in (F.lit(n), F.lit(_CHARS[n]))])
+    windows = F.create_map(*[x for n, c in _WINDOWS.items() for x in (F.lit(n), F.lit(c))])
 
     def piece(part: Column) -> Column:
-        closed = F.regexp_extract(
-            part, "^(#[0-9]{1,7}|#[xX][0-9a-fA-F]{1,6}|[a-zA-Z][a-zA-Z0-9]*);", 1
-        )
-        dec = F.regexp_extract(closed, "^#([0-9]+)$", 1)
-        hexa = F.regexp_extract(closed, "^#[xX](.+)$", 1)
-        code = F.when(dec != "", F.hex(dec.cast("int"))).when(hexa != "", hexa)
-        numeric = F.when(code.isNotNull(), F.decode(F.unhex(F.lpad(code, 8, "0")), "UTF-32"))
-        char = F.coalesce(numeric, F.try_element_at(names, closed))
+        numeric = F.regexp_extract(part, "^(#(?:[0-9]+|[xX][0-9a-fA-F]+);?)", 1)
+        dec = F.regexp_extract(numeric, "^#([0-9]+)", 1)
+        hexa = F.regexp_extract(numeric, "^#[xX]([0-9a-fA-F]+)", 1)
+        code = F.when(dec != "", _number(dec, 10, 7)).when(hexa != "", _number(hexa, 16, 6))
+        plain = F.decode(F.unhex(F.lpad(F.hex(code), 8, "0")), "UTF-32")
+        number = F.coalesce(F.try_element_at(windows, code), plain)
+        named = F.regexp_extract(part, "^([a-zA-Z][a-zA-Z0-9]*);", 1)
+        char = F.try_element_at(names, F.nullif(named, F.lit("")))
         bare = F.regexp_extract(part, f"^({_BARE})", 1)
         return (
-            F.when(char.isNotNull(), F.concat(char, F.substr(part, F.length(closed) + F.lit(2))))
+            F.when(numeric != "", F.concat(number, F.substr(part, F.length(numeric) + F.lit(1))))
+            .when(char.isNotNull(), F.concat(char, F.substr(part, F.length(named) + F.lit(2))))
             .when(
                 bare != "",
-                F.concat(
-                    F.try_element_at(names, bare), F.substr(part, F.length(bare) + F.lit(1))
-                ),
+                F.concat(F.try_element_at(names, bare), F.substr(part, F.length(bare) + F.lit(1))),
             )
             .otherwise(F.concat(F.lit("&"), part))
         )
@@ -69,7 +81,7 @@ def html_to_text(html: Column, separator: str = "") -> Column:
     text = F.replace(text, F.lit("&nbsp;"), F.lit("\u00a0"))
     # A tag takes the whitespace around it along. The look-behind lets a match
     # start only at the head of a run of whitespace, which keeps this linear.
-    text = F.regexp_replace(text, f"(?:\\G|(?<![{_SPACE}]))[{_SPACE}]*<[^>]*>[{_SPACE}]*", _BREAK)
+    text = F.regexp_replace(text, f"(?:\\G|(?<![{_SPACE}]))[{_SPACE}]*{_TAG}[{_SPACE}]*", _BREAK)
     text = strip(F.regexp_replace(text, f"^{_BREAK}+|{_BREAK}+$", ""))
     text = F.regexp_replace(text, f"{_BREAK}[{_SPACE}{_BREAK}]*", separator)
     return _decode_entities(text)
@@ -80,16 +92,21 @@ def message_text(body: Column, body_type: Column) -> Column:
     return F.coalesce(F.when(body_type == "html", html_to_text(body)).otherwise(body), F.lit(""))
 
 
+def decode_base64(encoded: Column) -> Column:
+    """Base64 (padding and line breaks optional) to bytes; null where it is malformed."""
+    bare = F.regexp_replace(encoded, r"[\s=]+", "")
+    padded = F.concat(bare, F.repeat(F.lit("="), F.pmod(-F.length(bare), F.lit(4)).cast("int")))
+    return F.try_to_binary(padded, F.lit("base64"))
+
+
 def decode_base64url(encoded: Column) -> Column:
-    """URL-safe base64 (padding optional) to bytes; blank gives empty bytes."""
-    return F.when(blank(encoded), F.lit(b"")).otherwise(
-        F.unbase64(F.translate(encoded, "-_", "+/"))
-    )
+    """URL-safe base64 (padding optional) to bytes; blank gives empty bytes, malformed null."""
+    return F.when(blank(encoded), F.lit(b"")).otherwise(decode_base64(F.translate(encoded, "-_", "+/")))
 
 
 def decode_base64url_text(encoded: Column) -> Column:
-    """URL-safe base64 to UTF-8 text; blank gives null."""
-    return F.when(~blank(encoded), F.unbase64(F.translate(encoded, "-_", "+/")).cast("string"))
+    """URL-safe base64 to UTF-8 text; blank and malformed give null."""
+    return F.when(~blank(encoded), decode_base64url(encoded).cast("string"))
 
 
 def join_pages(pages: Column) -> Column:

@@ -117,7 +117,8 @@ def dup_by_number(drafts: DataFrame, bills: DataFrame) -> DataFrame:
 
 
 def _bucket(amount: Column) -> Column:
-    return F.floor(amount * _BUCKETS_PER_UNIT)
+    # A double, since amounts may be larger than any integer type holds.
+    return F.rint(amount * _BUCKETS_PER_UNIT)
 
 
 def amount_matches(probes: DataFrame, bills: DataFrame) -> DataFrame:

@@ -52,14 +52,13 @@ def ask_model(messages: DataFrame, make_model: ModelFactory, instructions: str)
     return messages.select("message_id", "text").mapInPandas(run, schema)
 
 
-def with_context(instructions: str, context: str | None) -> str:
-    """Instructions with the customer list appended where there is one."""
-    if not context:
-        return instructions
-    return (
-        f"{instructions}\n\nMatch the job site address to one of these customers:\n{context}\n\n"
-        "If one matches, set customer_name to exactly that customer's name."
-    )
+# What a model is asked to do with the candidates that follow; callers may word it as they like.
+CANDIDATES = "Candidate customers, one per line. Copy customer_name from this list, or leave it null:"
+
+
+def with_context(instructions: str, context: str | None, request: str = CANDIDATES) -> str:
+    """Instructions followed by the request and the customer list, where there is a list."""
+    return f"{instructions}\n\n{request}\n{context}" if context else instructions
 
 
 # --- classification ----------------------------------------------------------------
@@ -109,24 +108,33 @@ def valid_label(answer: Column) -> Column:
 
 
 def classify_messages(messages: DataFrame, make_model: ModelFactory | None = None, instructions: str = "") -> DataFrame:
-    """(message_id, label) of messages (message_id, text)."""
+    """(message_id, label) of messages (message_id, text); ``label_answers`` also tells why one is missing."""
     if make_model is None:
         return messages.select("message_id", classify(F.col("text")).alias("label"))
-    answers = ask_model(messages, make_model, instructions)
-    return answers.select("message_id", valid_label(F.col("answer")).alias("label"))
+    return label_answers(ask_model(messages, make_model, instructions)).drop("errors")
+
+
+def label_answers(answers: DataFrame) -> DataFrame:
+    """(message_id, label, errors) of a model's answers; no valid label comes with its reason."""
+    label = valid_label(F.col("answer"))
+    checks = [(label.isNull(), "answer names none of the labels")]
+    known = answers if "error" in answers.columns else answers.withColumn("error", F.lit(None).cast("string"))
+    return known.select("message_id", label.alias("label"), _errors(checks, F.lit(False)).alias("errors"))
 
 
 # --- invoices ----------------------------------------------------------------------
 
 
 def _opened(answers: DataFrame, schema: str) -> DataFrame:
-    """(message_id, answer, payload columns): each answer is parsed exactly once.
+    """(message_id, answer, error, payload columns, _corrupt): each answer is parsed exactly once.
 
     ``inline`` is a generator, which the optimizer neither repeats per field nor
     moves filters through.
     """
-    payload = F.inline(F.array(F.from_json("answer", schema)))
-    return answers.select("message_id", "answer", payload)
+    options = {"columnNameOfCorruptRecord": "_corrupt"}
+    payload = F.inline(F.array(F.from_json("answer", f"{schema}, _corrupt string", options)))
+    error = F.col("error") if "error" in answers.columns else F.lit(None).cast("string")
+    return answers.select("message_id", "answer", error.alias("error"), payload)
 
 
 def parse_invoices(answers: DataFrame) -> DataFrame:
@@ -136,18 +144,25 @@ def parse_invoices(answers: DataFrame) -> DataFrame:
     """
     lines = F.col("line_items")
     checks = [
-        (F.col("answer").isNull(), "no answer"),
         (F.col("vendor_display_name").isNull(), "vendor_display_name is required"),
         (lines.isNull(), "line_items is required"),
         (F.exists(lines, lambda x: x["item"].isNull()), "line item without item"),
         (F.exists(lines, lambda x: x["rate"].isNull()), "line item without rate"),
         (F.exists(lines, lambda x: F.coalesce(x["quantity"] <= 0, F.lit(False))), "quantity must be greater than 0"),
     ]
-    return _opened(answers, INVOICE_PAYLOAD).withColumn("errors", _errors(checks)).drop("answer")
+    return _opened(answers, INVOICE_PAYLOAD).withColumn("errors", _errors(checks)).drop("answer", "error", "_corrupt")
 
 
-def _errors(checks: list[tuple[Column, str]]) -> Column:
-    return F.array_compact(F.array(*[F.when(bad, F.lit(text)) for bad, text in checks]))
+def _errors(checks: list[tuple[Column, str]], corrupt: Column | None = None) -> Column:
+    """Why an answer cannot be used. Without a readable answer that is the only reason."""
+    corrupt = F.col("_corrupt").isNotNull() if corrupt is None else corrupt
+    found = F.array_compact(F.array(*[F.when(bad, F.lit(text)) for bad, text in checks]))
+    return (
+        F.when(F.col("error").isNotNull(), F.array(F.concat(F.lit("model failed: "), "error")))
+        .when(F.col("answer").isNull(), F.array(F.lit("no answer")))
+        .when(corrupt, F.array(F.lit("answer is not the expected JSON")))
+        .otherwise(found)
+    )
 
 
 def to_drafts(payloads: DataFrame) -> DataFrame:
@@ -191,7 +206,7 @@ def _stated(text: Column, name: str) -> Column:
 
 def _stated_number(text: Column, name: str) -> Column:
     digits = F.regexp_extract(text, rf"(?im)^{name}[ \t]*:[ \t]*\$?([0-9][0-9,]*\.?[0-9]*)", 1)
-    return F.replace(present(digits), F.lit(","), F.lit("")).cast("double")
+    return F.replace(present(digits), F.lit(","), F.lit("")).try_cast("double")
 
 
 def extract_invoice_json(text: Column) -> Column:
@@ -207,8 +222,8 @@ def extract_invoice_json(text: Column) -> Column:
     def line(cells: Column) -> Column:
         return F.struct(
             F.get(cells, F.lit(0)).alias("item"),
-            F.replace(F.get(cells, F.lit(2)), F.lit("$"), F.lit("")).cast("double").alias("rate"),
-            F.get(cells, F.lit(1)).cast("double").alias("quantity"),
+            F.replace(F.get(cells, F.lit(2)), F.lit("$"), F.lit("")).try_cast("double").alias("rate"),
+            F.get(cells, F.lit(1)).try_cast("double").alias("quantity"),
             present(F.get(cells, F.lit(3))).alias("category"),
         )
 
@@ -233,7 +248,7 @@ def extract_invoices(
         answers = messages.select("message_id", extract_invoice_json(F.col("text")).alias("answer"))
     else:
         answers = ask_model(messages, make_model, with_context(instructions, context))
-    return parse_invoices(answers.select("message_id", "answer"))
+    return parse_invoices(answers)
 
 
 # --- shipments -----------------------------------------------------------------------
@@ -249,11 +264,10 @@ def parse_shipments(answers: DataFrame) -> DataFrame:
     none = F.array().cast("array<struct<description:string,quantity:double,weight:string>>")
     parsed = _opened(answers, SHIPPING_PAYLOAD).withColumn("items", F.coalesce("items", none))
     checks = [
-        (F.col("answer").isNull(), "no answer"),
         (F.exists("items", lambda x: x["description"].isNull()), "shipped item without description"),
     ]
     reference = shipping_required(F.col("carrier"), F.col("tracking_number"), F.col("order_number"))
-    return parsed.withColumns({"has_reference": reference, "errors": _errors(checks)}).drop("answer")
+    return parsed.withColumns({"has_reference": reference, "errors": _errors(checks)}).drop("answer", "error", "_corrupt")
 
 
 _DATE = "[0-9]{1,2}/[0-9]{1,2}/[0-9]{4}"
@@ -291,7 +305,7 @@ def extract_shipments(messages: DataFrame, make_model: ModelFactory | None = Non
         answers = messages.select("message_id", extract_shipment_json(F.col("text")).alias("answer"))
     else:
         answers = ask_model(messages, make_model, instructions)
-    return parse_shipments(answers.select("message_id", "answer"))
+    return parse_shipments(answers)
 
 
 # --- client notes ----------------------------------------------------------------------
@@ -302,7 +316,6 @@ def parse_client_notes(answers: DataFrame) -> DataFrame:
     none = F.array().cast("array<string>")
     urgency = F.col("urgency")
     checks = [
-        (F.col("answer").isNull(), "no answer"),
         (F.col("summary").isNull(), "summary is required"),
         (urgency.isNotNull() & ~urgency.isin(*URGENCIES), "urgency must be low, medium or high"),
     ]
@@ -312,7 +325,7 @@ def parse_client_notes(answers: DataFrame) -> DataFrame:
         "response_needed": F.coalesce("response_needed", F.lit(False)),
         "errors": _errors(checks),
     }
-    return _opened(answers, CLIENT_PAYLOAD).withColumns(filled).drop("answer")
+    return _opened(answers, CLIENT_PAYLOAD).withColumns(filled).drop("answer", "error", "_corrupt")
 
 
 def extract_client_note_json(text: Column) -> Column:
@@ -343,7 +356,7 @@ def extract_client_notes(messages: DataFrame, make_model: ModelFactory | None =
         answers = messages.select("message_id", extract_client_note_json(F.col("text")).alias("answer"))
     else:
         answers = ask_model(messages, make_model, instructions)
-    return parse_client_notes(answers.select("message_id", "answer"))
+    return parse_client_notes(answers)
 
 
 def accepted(parsed: DataFrame) -> DataFrame:

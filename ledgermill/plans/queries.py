@@ -18,7 +18,7 @@ from ..operators import resolve as R
 from ..operators import trackers as K
 from ..operators.inorder import post_in_order as post_batch
 from ..operators.joins import keyed_join
-from ..session import cut_lineage, fresh_path, spread
+from ..session import cut_lineage, fresh_path
 from ..sources import documents as docs
 from ..sources import masters, messages, processed
 from ..streaming import ingest
@@ -54,11 +54,11 @@ def scan_messages(spark, sf):
 
 @query
 def flatten_mime_parts(spark, sf):
-    parts = messages.flatten_mime_parts(V.mime_mail(spark, sf), max_depth=4)
+    parts = messages.flatten_mime_parts(V.mime_mail(spark, sf))
     return parts.select(
         "message_id",
         F.array_join(F.transform("part_path", lambda i: i.cast("string")), ".").alias("part_path"),
-        "filename", F.col("content").cast("string").alias("content"), "attachment_id", "unopened",
+        "filename", F.col("content").cast("string").alias("content"), "attachment_id",
     )
 
 
@@ -492,7 +492,7 @@ def bill_purchase_reconcile(spark, sf):
 
 @query
 def category_to_account(spark, sf):
-    return spread(V.draft_lines(spark, sf)).select(
+    return V.draft_lines(spark, sf).select(
         "message_id", "item", "category", rules.category_to_account(F.col("category")).alias("account_id")
     )
 
@@ -612,7 +612,7 @@ def ledger(spark, sf):
 
 @query
 def nested_ledger_lines(spark, sf):
-    exploded = L.explode_lines(spread(V.nested_drafts(spark, sf)), ["message_id"])
+    exploded = L.explode_lines(V.nested_drafts(spark, sf), ["message_id"])
     rows = L.ledger_lines(exploded, ["message_id", "pos"])
     return rows.withColumn("amount", money("amount", 4))
 

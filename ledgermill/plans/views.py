@@ -88,9 +88,11 @@ def accounts(spark: SparkSession, sf_dir: str) -> DataFrame:
 # --- drafts ----------------------------------------------------------------------
 
 
-def orders_with_customer(spark: SparkSession, sf_dir: str) -> DataFrame:
+def orders_with_customer(spark: SparkSession, sf_dir: str, heavy: bool = False) -> DataFrame:
+    """Orders with their customer; ``heavy`` spreads a small scan where much work per row follows."""
+    orders = table(spark, sf_dir, "orders")
     return keyed_join(
-        table(spark, sf_dir, "orders").withColumnRenamed("o_custkey", "c_custkey"),
+        (spread(orders) if heavy else orders).withColumnRenamed("o_custkey", "c_custkey"),
         table(spark, sf_dir, "customer").select("c_custkey", "c_name", "c_mktsegment", "c_nationkey"),
         ["c_custkey"], "inner",
     )
@@ -308,7 +310,7 @@ def page_mail(spark: SparkSession, sf_dir: str) -> DataFrame:
 def mime_mail(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Raw part trees: one per document, as JSON.
 
-    root -> [text body, mixed -> [file with data -> [hidden child], stored file]]
+    root -> [text body, mixed -> [file with data -> [hidden child], stored file], ten levels -> file]
     """
     b64url = lambda c: F.translate(F.regexp_replace(F.base64(F.encode(c, "UTF-8")), r"[\r\n=]", ""), "+/", "-_")
     nothing = F.lit(None).cast("string")
@@ -329,20 +331,19 @@ def mime_mail(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.concat(F.lit("att-"), text("doc_id")), F.when(F.lit(False), F.array(hidden)),
     )
     files = F.array(file, stored)
-    parts = F.array(
-        branch("text/plain", data, F.when(F.lit(False), files)), branch("multipart/mixed", nothing, files)
-    )
+    # A file ten levels down, deeper than the levels that are opened at a time.
+    deep = leaf(F.concat(F.lit("deep_"), F.col("source")), nothing, F.concat(F.lit("deep-"), text("doc_id")), nothing)
+    for _ in range(10):
+        deep = branch("multipart/mixed", nothing, F.array(deep))
+    parts = [branch("text/plain", data, nothing), branch("multipart/mixed", nothing, files), deep]
     headers = F.array(
         F.struct(F.lit("From").alias("name"), F.lit("a@example.com").alias("value")),
         F.struct(F.lit("SUBJECT").alias("name"), F.col("lang").alias("value")),
         F.struct(F.lit("Subject").alias("name"), F.concat_ws(" ", "source", "doc_id").alias("value")),
     )
-    root = F.to_json(
-        F.struct(
-            F.lit("multipart/alternative").alias("mimeType"),
-            headers.alias("headers"),
-            parts.alias("parts"),
-        )
+    root = F.concat(
+        F.lit('{"mimeType": "multipart/alternative", "headers": '), F.to_json(headers), F.lit(', "parts": ['),
+        F.concat_ws(", ", *[F.to_json(part) for part in parts]), F.lit("]}"),
     )
     rows = texts(spark, sf_dir, "documents", "doc_id", "source", "text", "lang")
     return rows.select(text("doc_id").alias("message_id"), root.alias("payload"))
@@ -407,7 +408,7 @@ def shipping_texts(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def invoice_texts(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Plain-text invoices: one per order."""
-    return spread(orders_with_customer(spark, sf_dir)).select(
+    return orders_with_customer(spark, sf_dir, heavy=True).select(
         text("o_orderkey").alias("message_id"),
         F.concat(
             F.lit("Vendor: "), "c_name",

@@ -61,7 +61,8 @@ def spread(df: DataFrame) -> DataFrame:
     """Spread a scan that has fewer splits than the cluster has cores.
 
     For work that is heavy per row, such as regular expressions over long texts. A table
-    of many files already has enough splits and is returned as it is, without a shuffle.
+    of many files already has enough splits and is returned as it is, without a shuffle. ``df`` must be a
+    scan: counting the partitions of a plan with a shuffle would run it.
     """
     cores = df.sparkSession.sparkContext.defaultParallelism
     return df.repartition(cores) if df.rdd.getNumPartitions() < cores else df

@@ -6,8 +6,9 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions.scalars import blank
-from ..functions.text import decode_base64url, decode_base64url_text, message_text
+from ..functions.text import decode_base64, decode_base64url, decode_base64url_text, message_text
 from ..schemas import MESSAGES, MIME_NODE
+from ..session import cut_lineage
 
 
 def read_messages(spark: SparkSession, path: str) -> DataFrame:
@@ -43,13 +44,24 @@ def kept_attachments(has_attachments: Column, attachments: Column) -> Column:
 
 
 def scan_attachments(messages: DataFrame) -> DataFrame:
-    """One row per kept attachment with its decoded bytes; positions count kept ones."""
+    """One row per kept attachment with its decoded bytes; positions count kept ones.
+
+    Malformed base64 gives null content; see ``readable_attachments``.
+    """
     kept = kept_attachments(F.col("has_attachments"), F.col("attachments"))
     return messages.select("message_id", F.posexplode(kept).alias("pos", "a")).select(
         "message_id",
         "pos",
         F.col("a.name").alias("filename"),
-        F.unbase64("a.content_b64").alias("content"),
+        decode_base64(F.col("a.content_b64")).alias("content"),
+    )
+
+
+def readable_attachments(attachments: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """Attachments with content, and those whose base64 is malformed, with a reason."""
+    bad = F.col("content").isNull()
+    return attachments.filter(~bad), attachments.filter(bad).drop("content").withColumn(
+        "reason", F.lit("content is not base64")
     )
 
 
@@ -97,20 +109,40 @@ def parse_mime(messages: DataFrame) -> DataFrame:
     )
 
 
-def flatten_mime_parts(messages: DataFrame, max_depth: int = 8) -> DataFrame:
-    """Attachment parts of MIME trees (message_id, payload JSON), one row per part.
+# Levels of a part tree that are opened inside the row, before what is left is looked at again.
+_LEVELS = 8
+
 
-    Each level is opened inside the row, so a message needs no shuffle however deep
-    it nests. Children of a part with a name and inline data are not visited. A part that sits
-    below ``max_depth`` comes out with its raw JSON in ``unopened`` instead of
-    being lost; give those rows to this function again to go on.
+def flatten_mime_parts(messages: DataFrame) -> DataFrame:
+    """Attachment parts of MIME trees (message_id, payload JSON), one row per part, however deep.
+
+    Levels are opened inside the row, so a message needs no shuffle. Children of a part with a name and
+    inline data are not visited. Runs eagerly, once per eight levels: only trees that go on below are opened
+    further, with the path that leads to them. Malformed base64 gives null content and null attachment_id.
     """
-    root = F.array(
-        F.struct(F.array().cast("array<int>").alias("path"), F.col("payload").alias("json"))
+    start = messages.select(
+        "message_id",
+        F.array(F.struct(F.array().cast("array<int>").alias("path"), F.col("payload").alias("json"))).alias("level"),
     )
-    level = messages.withColumn("_level", root)
+    done = None
+    while True:
+        found = cut_lineage(_open_levels(start))
+        parts = found.filter("unopened is null").drop("unopened")
+        done = parts if done is None else done.unionByName(parts)
+        below = found.filter("unopened is not null")
+        if below.isEmpty():
+            return done
+        start = below.select(
+            "message_id", F.array(F.struct(F.col("part_path").alias("path"), F.col("unopened").alias("json"))).alias("level")
+        )
+
+
+def _open_levels(messages: DataFrame) -> DataFrame:
+    """Parts of the next levels of (message_id, level), and the raw JSON of what lies below them."""
+    level = messages.withColumnRenamed("level", "_level")
     found = []
-    for depth in range(max_depth):
+    nothing_below = F.array().cast("array<struct<path:array<int>,json:string>>")
+    for depth in range(_LEVELS):
         opened = F.transform(
             "_level",
             lambda x: F.struct(x["path"].alias("path"), F.from_json(x["json"], MIME_NODE).alias("p")),
@@ -123,11 +155,9 @@ def flatten_mime_parts(messages: DataFrame, max_depth: int = 8) -> DataFrame:
                 blank(x["p"]["filename"]) | blank(x["p"]["body"]["data"]),
                 F.transform(
                     F.coalesce(x["p"]["parts"], F.array().cast("array<string>")),
-                    lambda c, i: F.struct(
-                        F.concat(x["path"], F.array(i)).alias("path"), c.alias("json")
-                    ),
+                    lambda c, i: F.struct(F.concat(x["path"], F.array(i)).alias("path"), c.alias("json")),
                 ),
-            ).otherwise(F.array().cast("array<struct<path:array<int>,json:string>>")),
+            ).otherwise(nothing_below),
         )
         level = level.withColumn(column, opened).withColumn("_level", F.flatten(children))
 
@@ -135,24 +165,22 @@ def flatten_mime_parts(messages: DataFrame, max_depth: int = 8) -> DataFrame:
         named = ~blank(x["p"]["filename"])
         return named & (~blank(x["p"]["body"]["data"]) | ~blank(x["p"]["body"]["attachmentId"]))
 
+    nothing = F.lit(None).cast("string")
+
     def row(x: Column) -> Column:
         return F.struct(
             x["path"].alias("part_path"),
             x["p"]["filename"].alias("filename"),
             F.nullif(x["p"]["body"]["data"], F.lit("")).alias("data"),
             F.nullif(x["p"]["body"]["attachmentId"], F.lit("")).alias("attachment_id"),
-            F.lit(None).cast("string").alias("unopened"),
+            nothing.alias("unopened"),
         )
 
-    nothing = F.lit(None).cast("string")
     rest = F.transform(
         "_level",
         lambda x: F.struct(
-            x["path"].alias("part_path"),
-            nothing.alias("filename"),
-            nothing.alias("data"),
-            nothing.alias("attachment_id"),
-            x["json"].alias("unopened"),
+            x["path"].alias("part_path"), nothing.alias("filename"), nothing.alias("data"),
+            nothing.alias("attachment_id"), x["json"].alias("unopened"),
         ),
     )
     parts = F.concat(*[F.transform(F.filter(c, is_part), row) for c in found], rest)

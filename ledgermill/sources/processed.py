@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.errors import AnalysisException
 
@@ -11,23 +11,40 @@ from ..schemas import PROCESSED
 
 
 def load_processed(spark: SparkSession, path: str) -> DataFrame:
-    """Ids from JSON text; a missing or unreadable file counts as empty.
+    """Ids from JSON text; a missing file counts as empty, and so does a file with a broken array.
 
-    Reads one id per line, an array of ids on one line, or one object per line, so a
-    file is split between tasks like any text.
+    Reads one id per line, one object per line, or arrays of ids, on one line or over several. Files without an array
+    are split between tasks like any text; a file with one is read whole, since only then is its end known.
     """
-    empty = spark.createDataFrame([], PROCESSED)
     try:
         lines = spark.read.text(path)
-    except AnalysisException:
-        return empty
+    except AnalysisException as problem:
+        if problem.getCondition() != "PATH_NOT_FOUND":
+            raise
+        return spark.createDataFrame([], PROCESSED)
+    file = F.col("_metadata.file_path").alias("file")
+    # The driver has listed the files already, so their names fit.
+    whole = [r["file"] for r in lines.filter(F.col("value").rlike(r"^\s*\[")).select(file).distinct().collect()]
     single = F.coalesce(
         F.get_json_object("value", "$.message_id"),
         F.nullif(F.regexp_extract("value", r'^\s*"([^"]*)",?\s*$', 1), F.lit("")),
     )
-    listed = F.from_json("value", "array<string>")
-    ids = F.when(F.col("value").rlike(r"^\s*\[.*\]\s*$"), listed).otherwise(F.array(single))
-    return lines.select(F.explode(ids).alias("message_id")).filter("message_id is not null")
+    ids = lines.filter(~file.isin(whole) if whole else F.lit(True)).select(single.alias("message_id"))
+    if whole:
+        # Without line breaks every array of a file is on its own line, or the file is one array.
+        text = F.regexp_replace("value", r"\s*\n\s*(?!\[)", " ")
+        arrays = F.filter(F.split(text, "\n"), lambda line: F.trim(line) != "")
+        listed = F.transform(arrays, _array_of_ids)
+        sound = ~F.exists(listed, lambda x: x.isNull())
+        read = spark.read.text(whole, wholetext=True).select(F.when(sound, F.flatten(listed)).alias("ids"))
+        ids = ids.unionByName(read.select(F.explode("ids").alias("message_id")))
+    return ids.filter("message_id is not null")
+
+
+def _array_of_ids(text: Column) -> Column:
+    """The array a text holds, or null if it is no whole JSON array."""
+    closed = F.trim(text).startswith("[") & F.trim(text).endswith("]")
+    return F.when(closed, F.from_json(text, "array<string>", {"mode": "PERMISSIVE"}))
 
 
 def mark_processed(processed: DataFrame, new_ids: DataFrame) -> DataFrame:

@@ -100,3 +100,17 @@ def test_context(spark):
     extract = column(spark, files, lambda a: T.extractor_context(F.lit("m"), a), ddl)
     assert extract[0] == "m\n\nAttachment contents:\n\n--- a.pdf ---\nbody\n\n--- b.jpg (binary file) ---\n"
     assert column(spark, [["p1", None, "p3"]], T.join_pages, "array<string>") == ["p1\n\np3"]
+
+
+def test_references_tags_and_exponents(spark):
+    cases = {
+        "&check;": "\u2713", "&NewLine;x": "\nx", "&#00000065;": "A", "&#9999999;": "\ufffd", "&#0;": "\ufffd",
+        "&#xD800;": "\ufffd", "&#x1F600;": "\U0001f600", "&#150;": "\u2013", "&#65 b": "A b", "&fjlig;": "fj",
+        "a &amp b &copy;": "a & b \u00a9", "&nosuch; &": "&nosuch; &",
+    }
+    df = spark.createDataFrame([(k,) for k in cases], "t string").select("t", T.html_to_text(F.col("t")).alias("out"))
+    assert {r.t: r.out for r in df.collect()} == cases
+    pages = spark.createDataFrame([("<b>x < y</b>",), ("<p>1<2</p><!-- c --><i>z</i>",)], "t string")
+    assert [r[0] for r in pages.select(T.html_to_text(F.col("t"), " ")).collect()] == ["x < y", "1<2 z"]
+    numbers = spark.createDataFrame([(1e300,), (1e16,), (1.5e-7,), (2.5e-300,)], "x double")
+    assert [r[0] for r in numbers.select(S.number_text(F.col("x"))).collect()] == ["1e+300", "1e+16", "1.5e-07", "2.5e-300"]

@@ -56,13 +56,41 @@ def test_mime(spark):
     assert got == {((2,), "a.txt", b"A", None), ((3, 0), "b.pdf", None, "att1"), ((3, 0, 0), "c.txt", b"C", None)}
 
 
-def test_mime_below_depth_is_kept(spark):
-    mail = spark.createDataFrame([("m", json.dumps(tree()))], "message_id string, payload string")
-    rows = messages.flatten_mime_parts(mail, max_depth=3).collect()
-    rest = [r for r in rows if r.unopened]
-    assert [json.loads(r.unopened)["filename"] for r in rest] == ["c.txt"] and len(rows) == 3
-    again = spark.createDataFrame([("m", rest[0].unopened)], "message_id string, payload string")
-    assert [r.filename for r in messages.flatten_mime_parts(again).collect()] == ["c.txt"]
+def test_mime_of_any_depth(spark):
+    node = {"filename": "deep.txt", "body": {"data": b64url("D")}}
+    for k in range(19):
+        node = {"parts": [{"body": {"data": ""}}, node]} if k % 2 else {"parts": [node]}
+    rows = [("m", json.dumps(node)), ("n", json.dumps(tree())), ("o", "not json"), ("p", None)]
+    mail = spark.createDataFrame(rows, "message_id string, payload string")
+    got = {(r.message_id, tuple(r.part_path), r.filename) for r in messages.flatten_mime_parts(mail).collect()}
+    path = tuple(0 if k % 2 == 0 else 1 for k in range(18, -1, -1))
+    assert got == {("m", path, "deep.txt"), ("n", (2,), "a.txt"), ("n", (3, 0), "b.pdf"), ("n", (3, 0, 0), "c.txt")}
+
+
+def test_malformed_base64_is_set_aside(spark):
+    rows = [("1", [("a.pdf", b64("pdf")), ("b.pdf", "a"), ("c.pdf", "!!!!"), ("d.pdf", "cGRm\ncGRm")])]
+    mail = spark.createDataFrame(rows, "message_id string, a array<struct<name:string,content_b64:string>>").selectExpr(
+        "message_id", "true as has_attachments",
+        "transform(a, x -> named_struct('name', x.name, 'content_b64', x.content_b64, 'is_inline', false)) as attachments",
+    )
+    good, bad = messages.readable_attachments(messages.scan_attachments(mail))
+    assert sorted((r.filename, bytes(r.content)) for r in good.collect()) == [("a.pdf", b"pdf"), ("d.pdf", b"pdfpdf")]
+    assert sorted(r.filename for r in bad.collect()) == ["b.pdf", "c.pdf"]
+    tree_of = lambda data: json.dumps({"parts": [{"filename": "f", "body": {"data": data}}]})
+    parts = spark.createDataFrame([("m", tree_of("a")), ("n", tree_of("QQ"))], "message_id string, payload string")
+    assert {r.message_id: r.content and bytes(r.content) for r in messages.flatten_mime_parts(parts).collect()} == {"m": None, "n": b"A"}
+
+
+def test_processed_arrays_over_lines(spark, tmp_path):
+    cases = {
+        '["a", "b"\n, "c"]': "abc", '["a", "b",\n "c", "d"]': "abcd", '["a",\n"b",\n"c"': "", '["a"]\n["b"]\n': "ab",
+        "[]": "", '[\n"x y"\n]\n': None, '"a"\n"b",\n': "ab", '{"message_id": "a"}\n{"message_id": "b"}': "ab", "": "",
+    }
+    for k, (text, ids) in enumerate(cases.items()):
+        path = tmp_path / f"{k}.json"
+        path.write_text(text)
+        got = sorted(r.message_id for r in processed.load_processed(spark, str(path)).collect())
+        assert got == (["x y"] if ids is None else list(ids)), text
 
 
 def test_extraction_route(spark):
