@@ -43,15 +43,16 @@ def duplicate_groups(txns: DataFrame, txn_type: str, strict: bool) -> DataFrame:
 
 
 def duplicate_members(txns: DataFrame, strict: bool) -> DataFrame:
-    """Every transaction that belongs to a duplicate group, with the group's size.
+    """Every transaction that belongs to a duplicate group, with its party and the group's size.
 
-    Groups are counted with partial aggregates and joined back, so no task ever
-    holds a whole group.
+    Deposits have no party of their own and are always grouped by amount and date only. Groups are
+    counted with partial aggregates and joined back, so no task ever holds a whole group.
     """
-    rows = _named(txns)
-    keys = ["txn_type", *_keys(strict)]
+    deposit = F.col("txn_type") == "Deposit"
+    rows = _named(txns).withColumn("_who", F.when(~deposit, F.col("party")) if strict else F.lit(""))
+    keys = ["txn_type", "_who", "total_amt", "txn_date"]
     groups = rows.groupBy(*keys).agg(F.count(F.lit(1)).alias("n")).filter(F.col("n") > 1)
-    return keyed_join(rows, groups, keys, "inner", null_safe=True)
+    return keyed_join(rows, groups, keys, "inner", null_safe=True).drop("_who")
 
 
 def duplicate_summary(txns: DataFrame) -> DataFrame:

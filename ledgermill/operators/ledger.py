@@ -18,6 +18,7 @@ from ..functions.scalars import (
 
 PAYMENT_TYPE = "CreditCard"
 TAX_TEXT = "Tax"
+NO_TOTAL = "total_amount missing or not positive"
 
 
 def txn_type(is_receipt: Column) -> Column:
@@ -32,7 +33,7 @@ def valid_total(total: Column) -> Column:
 def split_by_total(drafts: DataFrame) -> tuple[DataFrame, DataFrame]:
     """Drafts with a positive total, and the rest with a reason."""
     ok = valid_total(F.col("total_amount"))
-    rejected = drafts.filter(~ok).withColumn("reason", F.lit("total_amount missing or not positive"))
+    rejected = drafts.filter(~ok).withColumn("reason", F.lit(NO_TOTAL))
     return drafts.filter(ok), rejected
 
 

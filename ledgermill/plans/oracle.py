@@ -352,7 +352,10 @@ add("dup_summary", TXNS, """g as (
     count(*) filter (n > 1) n_groups
   from g where is_soft = 1 or txn_type <> 'Deposit' group by 1, 2""")
 add("dup_members", TXNS, """
-  select * from (select *, count(*) over (partition by txn_type, party, total_amt, txn_date) n from txns) where n > 1""")
+  select * from (select *, count(*) over (
+    partition by txn_type, case when txn_type <> 'Deposit' then party end, total_amt, txn_date) n from txns) where n > 1""")
+add("dup_members_soft", TXNS, """
+  select * from (select *, count(*) over (partition by txn_type, total_amt, txn_date) n from txns) where n > 1""")
 add("customers_context", """
   select c_custkey ord, '- ' || c_name || ': ' || c_mktsegment || ', ' || n_name ||
     case when c_mktsegment = 'MACHINERY' then ' | Dock, ' || n_regionkey || ', ' || n_name else '' end line
@@ -398,6 +401,59 @@ add("nested_ledger_lines", ORDERS, NESTED, """
   union all select message_id, 1, cast(rate2 * qty2 as decimal(18,4)), '59',
     'service - Qty: ' || cast(qty2 as varchar) || ' @$12.5' from nested_t
   union all select message_id, 2, cast(tax as decimal(18,4)), '31', 'Tax' from nested_t where tax > 0""")
+# An address finds the first customer one of whose addresses it contains or lies in.
+POSTABLE = """p as (
+  select cast(o_orderkey as varchar) message_id, o.*, s.s_name,
+    case when c_custkey % 4 = 0 then c_mktsegment || ' Works' else ' ' || s_name end vendor_text,
+    case when o_orderpriority in ('4-NOT SPECIFIED', '5-LOW') then null else 'INV-' || o_orderkey end number,
+    case when c_custkey % 11 <> 0 then o_totalprice + 0.004 end total,
+    lower('Deliver to ' || c_mktsegment || '   now') address,
+    strftime(o_orderdate, '%Y-%m-%d') iso
+  from o join supplier s on s.s_suppkey = o.c_custkey % 10 + 1),
+a as (
+  select c_custkey ord, lower(c_mktsegment || '  ' || n_name) addr from customer join nation on c_nationkey = n_nationkey
+    where c_mktsegment <> 'FURNITURE'
+  union all select c_custkey, lower('Dock ' || n_regionkey || ' ' || n_name)
+    from customer join nation on c_nationkey = n_nationkey where c_mktsegment = 'MACHINERY'),
+found as (
+  select address, min(ord) ord from (select distinct address from p where o_orderstatus = 'O')
+    join a on contains(address, addr) or contains(addr, address) group by 1),
+b as (select o_orderkey k, case o_orderpriority when '2-HIGH' then 'another vendor' else vendor_text end vendor, iso,
+    case o_orderpriority when '2-HIGH' then number end doc, o_totalprice amount
+  from p where o_orderpriority in ('2-HIGH', '4-NOT SPECIFIED')),
+hit as (
+  select message_id, min(b.k) k from p join b on p.number = b.doc
+      or (p.vendor_text = b.vendor and p.iso = b.iso and abs(p.total - b.amount) < 0.01)
+    where o_orderstatus <> 'F' and total > 0 group by 1),
+resolved as (
+  select p.message_id, coalesce(case o_orderstatus when 'F' then c_custkey when 'O' then found.ord end, null) ord,
+    case o_orderstatus when 'F' then 'name' when 'O' then case when found.ord is not null then 'address' end end how
+  from p left join found on p.o_orderstatus = 'O' and p.address = found.address),
+fresh as (
+  select p.*, cast(r.ord as varchar) customer_id, case when c_custkey % 4 = 0 then null else cast(c_custkey % 10 + 1 as varchar) end vendor_id,
+    case when c_custkey % 4 = 0 then vendor_text else s_name end vendor_name,
+    case when o_orderstatus = 'F' then 'Purchase' else 'Bill' end txn_type
+  from p join resolved r using (message_id) left join hit using (message_id) where total > 0 and hit.k is null)"""
+add("post_bills", ORDERS, POSTABLE, """
+  select message_id, txn_type, vendor_id, vendor_name, customer_id, iso txn_date, iso due_date, number doc_number
+  from fresh where txn_type = 'Bill'""")
+add("post_purchases", ORDERS, POSTABLE, """
+  select message_id, txn_type, 'CreditCard' payment_type, vendor_id, vendor_name, customer_id, iso txn_date,
+    (select cast(min(n_nationkey) as varchar) from nation where n_regionkey in (1, 2)) bank_account_id
+  from fresh where txn_type = 'Purchase'""")
+add("post_rejected", ORDERS, POSTABLE, """
+  select message_id, 'total_amount missing or not positive' reason from p where coalesce(total, 0) <= 0
+  union all select message_id, 'duplicate of b' || k from hit""")
+add("resolve_customers", ORDERS, POSTABLE, """
+  select message_id, cast(ord as varchar) customer_id, c_name resolved_customer, how customer_match
+  from resolved left join customer on ord = c_custkey""")
+add("ledger_posted", ORDERS, POSTABLE, LINES, RULES, """all_lines as (
+  select message_id, account_id, cast(rate * quantity as decimal(18,4)) amount from lines join category_map using (category)
+  union all
+  select cast(l_orderkey as varchar), '31', cast(cast(sum(cast(l_extendedprice as decimal(12,2)) * cast(l_tax as decimal(4,2))) as double) as decimal(18,4)) tax
+    from lineitem group by 1 having tax > 0)""", """
+  select txn_type, account_id, customer_id, count(*) n_lines, cast(sum(amount) as decimal(18,4)) amount
+  from all_lines join fresh using (message_id) group by 1, 2, 3""")
 add("bill_header", ORDERS, DRAFTS, "select message_id, iso_date txn_date, iso_due due_date, nullif(invoice_number, '') doc_number from drafts")
 add("shipment_items_text", SHIPMENTS, """
   select message_id, 'pallet (qty: ' || cast(o_totalprice as varchar) || ') [12 lb]' || chr(10) || 'box' || chr(10)

@@ -18,6 +18,7 @@ from ..operators import resolve as R
 from ..operators import trackers as K
 from ..operators.inorder import post_in_order as post_batch
 from ..operators.joins import keyed_join
+from ..operators.posting import Posting, post_drafts
 from ..session import cut_lineage, fresh_path
 from ..sources import documents as docs
 from ..sources import masters, messages, processed
@@ -537,6 +538,11 @@ def dup_members(spark, sf):
     return D.duplicate_members(V.transactions(spark, sf), strict=True)
 
 
+@query
+def dup_members_soft(spark, sf):
+    return D.duplicate_members(V.transactions(spark, sf), strict=False)
+
+
 @query
 def customers_context(spark, sf):
     return masters.context_or_notice(masters.customers_context(V.customers(spark, sf)))
@@ -617,6 +623,46 @@ def nested_ledger_lines(spark, sf):
     return rows.withColumn("amount", money("amount", 4))
 
 
+def _posting(spark: SparkSession, sf: str) -> Posting:
+    drafts = cut_lineage(V.postable_drafts(spark, sf))
+    return post_drafts(
+        drafts, V.draft_lines(spark, sf), V.bills_of_drafts(drafts), V.vendors(spark, sf),
+        V.customers(spark, sf), V.accounts(spark, sf), RUN_DATE,
+    )
+
+
+@query
+def post_bills(spark, sf):
+    return _posting(spark, sf).bills
+
+
+@query
+def post_purchases(spark, sf):
+    return _posting(spark, sf).purchases
+
+
+@query
+def post_rejected(spark, sf):
+    return _posting(spark, sf).rejected
+
+
+@query
+def ledger_posted(spark, sf):
+    """All lines of a posted batch per account, transaction type and customer."""
+    lines = _posting(spark, sf).lines
+    return lines.groupBy("txn_type", "account_id", "customer_id").agg(
+        F.count(F.lit(1)).alias("n_lines"), F.sum(money("amount", 4)).cast("decimal(18,4)").alias("amount")
+    )
+
+
+@query
+def resolve_customers(spark, sf):
+    drafts = V.postable_drafts(spark, sf).select("message_id", "customer_name", "job_site_address")
+    return R.resolve_customers(drafts, V.customers(spark, sf)).select(
+        "message_id", "customer_id", "resolved_customer", "customer_match"
+    )
+
+
 @query
 def bill_header(spark, sf):
     return L.build_bills(V.drafts(spark, sf)).select("message_id", "txn_date", "due_date", "doc_number")

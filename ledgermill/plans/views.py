@@ -196,6 +196,41 @@ def nested_drafts(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def postable_drafts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """One draft per order from a known or new vendor, some without a total; lines are in ``draft_lines``."""
+    names = table(spark, sf_dir, "supplier").select("s_suppkey", "s_name")
+    # A few vendors own all orders, as the masters of every data set have at least ten.
+    orders = orders_with_customer(spark, sf_dir).withColumn("s_suppkey", F.col("c_custkey") % 10 + 1)
+    rows = keyed_join(orders, names, ["s_suppkey"], "inner")
+    priority, status = F.col("o_orderpriority"), F.col("o_orderstatus")
+    drafts = rows.select(
+        text("o_orderkey").alias("message_id"),
+        F.when(F.col("c_custkey") % 4 == 0, F.concat("c_mktsegment", F.lit(" Works")))
+        .otherwise(F.concat(F.lit(" "), "s_name")).alias("vendor_display_name"),
+        F.when(priority.isin("4-NOT SPECIFIED", "5-LOW"), "").otherwise(F.concat(F.lit("INV-"), text("o_orderkey")))
+        .alias("invoice_number"),
+        F.date_format("o_orderdate", "M/d/yyyy").alias("invoice_date"),
+        F.date_format("o_orderdate", "MM/dd/yyyy").alias("due_date"),
+        F.when(F.col("c_custkey") % 11 != 0, F.col("o_totalprice") + 0.004).alias("total_amount"),
+        (status == "F").alias("is_receipt"),
+        F.when(status == "F", F.col("c_name")).when(status == "P", F.upper("c_name")).alias("customer_name"),
+        F.concat(F.lit("Deliver to "), "c_mktsegment", F.lit("   now")).alias("job_site_address"),
+        "o_orderkey", priority.alias("priority"), "o_totalprice", "o_orderdate",
+    )
+    return keyed_join(drafts, draft_tax(spark, sf_dir), ["message_id"], "left")
+
+
+def bills_of_drafts(drafts: DataFrame) -> DataFrame:
+    """Bills that were posted before: by number, or by vendor, date and amount."""
+    return drafts.filter(F.col("priority").isin("2-HIGH", "4-NOT SPECIFIED")).select(
+        F.concat(F.lit("b"), "message_id").alias("bill_id"), F.col("o_orderkey").alias("ord"),
+        F.when(F.col("priority") == "2-HIGH", "another vendor").otherwise(F.col("vendor_display_name")).alias("vendor_name"),
+        F.date_format("o_orderdate", "yyyy-MM-dd").alias("txn_date"),
+        F.when(F.col("priority") == "2-HIGH", F.col("invoice_number")).alias("doc_number"),
+        F.col("o_totalprice").alias("total"),
+    )
+
+
 # --- posted transactions -----------------------------------------------------------
 
 
