@@ -1,13 +1,12 @@
 """Equi-joins that hold when one key owns a large share of the rows.
 
-A side is broadcast only when Catalyst's own size estimate is below the session's
-threshold. Beyond it the join shuffles, and keys that a bounded sketch reports as
-heavy are spread over several tasks by a salt.
+How a join is carried out is the planner's choice: it broadcasts a side below the session's
+threshold, and adaptive execution splits a partition that turns out skewed. Where hot keys on both sides
+are expected from the start (``force_salt``), a bounded sketch names them and a salt spreads them.
 """
 
 from __future__ import annotations
 
-import re
 import uuid
 from collections.abc import Sequence
 
@@ -21,45 +20,33 @@ from pyspark.sql import functions as F
 HEAVY_SHARE = 0.0001
 HEAVY_ROWS = 1_000_000
 _TRACKED = 65_536
-
-
-def size_estimate(df: DataFrame) -> int:
-    """Catalyst's size estimate of a plan, in bytes."""
-    return int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
-
-
-def _threshold(df: DataFrame) -> int:
-    text = df.sparkSession.conf.get("spark.sql.autoBroadcastJoinThreshold")
-    number, unit = re.fullmatch(r"(-?\d+)([a-zA-Z]*)", text).groups()
-    scale = {"": 0, "b": 0, "k": 10, "kb": 10, "m": 20, "mb": 20, "g": 30, "gb": 30}
-    return int(number) << scale[unit.lower()] if int(number) > 0 else -1
-
-
-def fits_broadcast(df: DataFrame) -> bool:
-    return size_estimate(df) <= _threshold(df)
+# Keys are sketched in so many groups by their hash, so that no single task merges all sketches.
+_SHARDS = 64
 
 
 def heavy_keys(
     df: DataFrame, key_hash: Column, share: float = HEAVY_SHARE, min_rows: int = HEAVY_ROWS
 ) -> DataFrame:
-    """Hash and salt count of keys that hold more than ``share`` of the rows.
+    """Hash and salt count of keys that hold more than about ``share`` of the rows.
 
-    At most ``1/share`` rows, and the salts of all keys together stay below ``2/share``.
-
-    One pass with a constant-size frequent-items sketch per task; no shuffle by key.
-    The sketch only decides where rows go, never what the join returns.
+    One pass with a constant-size frequent-items sketch per task and shard; keys are not shuffled. A
+    shard's rows stand for its part of the table, so a shard with a very hot key lists fewer others. The
+    sketch only decides where rows go, never what the join returns.
     """
-    top = df.select(key_hash.alias("h")).agg(
-        F.expr(f"approx_top_k(h, {int(1 / share)}, {_TRACKED})").alias("top"),
-        F.count(F.lit(1)).alias("n"),
+    shards = max(1, min(_SHARDS, int(0.1 / share)))
+    shard_share = share * shards
+    top = (
+        df.select(key_hash.alias("h")).groupBy(F.pmod("h", F.lit(shards)).alias("shard"))
+        .agg(
+            F.expr(f"approx_top_k(h, {int(1 / shard_share)}, {_TRACKED // shards})").alias("top"),
+            F.count(F.lit(1)).alias("n"),
+        )
     )
+    least = F.lit(shard_share) * F.col("n")
     return (
         top.select("n", F.inline("top"))
-        .filter((F.col("count") > F.lit(share) * F.col("n")) & (F.col("count") > min_rows))
-        .select(
-            F.col("item").alias("heavy_hash"),
-            F.ceil(F.col("count") / (F.lit(share) * F.col("n"))).alias("salts"),
-        )
+        .filter((F.col("count") > least) & (F.col("count") > min_rows))
+        .select(F.col("item").alias("heavy_hash"), F.ceil(F.col("count") / least).alias("salts"))
     )
 
 
@@ -76,16 +63,14 @@ def keyed_join(
     min_rows: int = HEAVY_ROWS,
     force_salt: bool = False,
 ) -> DataFrame:
-    """Join ``left`` to ``right`` on equal columns ``on``; ``left`` may be skewed.
-
-    ``how`` is inner, left, left_semi or left_anti. The rows of one heavy key are spread
-    by the hash of the left columns ``spread`` (default: all) and the number of the input
-    partition, so copies of one row are spread too and a retried task repeats its choice.
-    The right side
-    is repeated per salt only for heavy keys. Key columns of the result come
-    from the left. With ``null_safe`` two nulls are equal. ``profile`` is a cheaper frame
-    with the left side's key columns; heavy keys are then looked for there, which
-    saves computing a left side that is itself the result of joins twice.
+    """Join ``left`` to ``right`` on equal columns ``on``; either side may be skewed.
+
+    ``how`` is inner, left, left_semi or left_anti. Key columns of the result come from the left. With
+    ``null_safe`` two nulls are equal. With ``force_salt`` the rows of a heavy key are spread by the hash of
+    their columns (on the left: of ``spread``, default all) and the number of the input partition, so copies of
+    one row are spread too and a retried task repeats its choice. The other side is repeated per
+    salt, for heavy keys only. Keys that are heavy on the right are spread in inner joins. ``profile`` is a
+    cheaper frame with the left side's key columns to look for heavy keys in.
     """
     tag = uuid.uuid4().hex[:8]
     key_names = {k: f"_k_{k}_{tag}" for k in on}
@@ -100,33 +85,45 @@ def keyed_join(
         condition = condition & equal(k)
     if residual is not None:
         condition = condition & residual
-
-    if not force_salt and fits_broadcast(right):
-        joined = left.join(F.broadcast(right), condition, how)
-    else:
-        salt_left, salt_right = f"_sl_{tag}", f"_sr_{tag}"
-        hash_col, count_col = f"_h_{tag}", f"_n_{tag}"
-        source = left if profile is None else profile
-        heavy = heavy_keys(source, F.xxhash64(*on), share, min_rows)
-        heavy = F.broadcast(heavy.toDF(hash_col, count_col))
-        salts = F.coalesce(count_col, F.lit(1).cast("bigint"))
-        spread_hash = F.xxhash64(*(spread or left.columns))
-        left = (
-            left.join(heavy, F.xxhash64(*on) == F.col(hash_col), "left")
-            .withColumn(
-                # Reduced first, so that adding the partition cannot overflow.
-                salt_left, F.pmod(F.pmod(spread_hash, salts) + F.spark_partition_id(), salts)
-            )
-            .drop(hash_col, count_col)
-        )
-        right = (
-            right.join(heavy, F.xxhash64(*key_names.values()) == F.col(hash_col), "left")
-            .withColumn(salt_right, F.explode(F.sequence(F.lit(0).cast("bigint"), salts - 1)))
-            .drop(hash_col, count_col)
+    salts: list[str] = []
+    if force_salt:
+        left, right, name = _salted(
+            left, right, on, list(key_names.values()), left if profile is None else profile,
+            spread or left.columns, share, min_rows, f"l_{tag}",
         )
-        condition = condition & (F.col(salt_left) == F.col(salt_right))
-        joined = left.join(right, condition, how).drop(salt_left, salt_right)
-    return joined.drop(*key_names.values())
+        salts.append(name)
+        if how == "inner":
+            keys = list(key_names.values())
+            right, left, name = _salted(
+                right, left, keys, on, right, [c for c in right.columns if c not in salts], share, min_rows, f"r_{tag}",
+                renamed=True,
+            )
+            salts.append(name)
+        for name in salts:
+            condition = condition & (F.col(name) == F.col(f"{name}_"))
+    joined = left.join(right, condition, how)
+    return joined.drop(*salts, *[f"{name}_" for name in salts], *key_names.values())
+
+
+def _salted(hot, other, hot_keys, other_keys, source, spread, share, min_rows, tag, renamed=False):
+    """``hot`` with a salt per row, and ``other`` repeated for every salt of its key."""
+    name, hashed, count = f"_s{tag}", f"_h{tag}", f"_n{tag}"
+    heavy = heavy_keys(source, F.xxhash64(*hot_keys), share, min_rows)
+    heavy = F.broadcast(heavy.toDF(hashed, count))  # at most 1 / share keys
+    salts = F.coalesce(count, F.lit(1).cast("bigint"))
+    first, second = (f"{name}_", name) if renamed else (name, f"{name}_")
+    hot = (
+        hot.join(heavy, F.xxhash64(*hot_keys) == F.col(hashed), "left")
+        # Reduced first, so that adding the partition cannot overflow.
+        .withColumn(first, F.pmod(F.pmod(F.xxhash64(*spread), salts) + F.spark_partition_id(), salts))
+        .drop(hashed, count)
+    )
+    other = (
+        other.join(heavy, F.xxhash64(*other_keys) == F.col(hashed), "left")
+        .withColumn(second, F.explode(F.sequence(F.lit(0).cast("bigint"), salts - 1)))
+        .drop(hashed, count)
+    )
+    return hot, other, name
 
 
 def first_per_key(df: DataFrame, keys: Sequence[str], order: Sequence[str]) -> DataFrame:

@@ -48,7 +48,7 @@ def test_scans_are_pruned_and_filtered(spark):
 
 
 def test_checks_hold_without_broadcast(spark):
-    """The same results when no side may be broadcast, so every join is salted."""
+    """The same results when no side may be broadcast, so every join shuffles."""
     names = ("duplicate_bills", "vendor_exact", "customer_by_address", "dup_members", "new_to_tracker", "ledger")
     rows = lambda name: sorted(map(str, QUERIES[name](spark, SF).collect()))
     normal = {name: rows(name) for name in names}
@@ -61,11 +61,8 @@ def test_checks_hold_without_broadcast(spark):
         spark.conf.set("spark.sql.autoBroadcastJoinThreshold", old)
 
 
-def test_hot_vendor_and_number(spark, monkeypatch):
+def test_hot_vendor_and_number(spark):
     """A third of the drafts share one vendor, date and number."""
-    from ledgermill.operators import joins
-
-    monkeypatch.setattr(joins, "fits_broadcast", lambda df: False)
     rows = spark.range(3000).select(
         F.col("id").cast("string").alias("message_id"),
         F.when(F.col("id") % 3 == 0, "Hot").otherwise(F.concat(F.lit("V"), (F.col("id") % 97).cast("string"))).alias("vendor_display_name"),
@@ -81,6 +78,17 @@ def test_hot_vendor_and_number(spark, monkeypatch):
     assert {r.duplicate_of: r["count"] for r in got} == {"b1": hot_two, "b2": 1000 - hot_two, None: 2000}
 
 
+def test_no_job_runs_while_a_query_is_built(spark):
+    tracker = spark.sparkContext.statusTracker()
+    for name in ("category_to_account", "nested_ledger_lines", "extract_invoice", "quarantine_invoices", "ledger_lines"):
+        spark.sparkContext.setJobGroup(f"build-{name}", name)
+        QUERIES[name](spark, SF)
+        stages = [s for j in tracker.getJobIdsForGroup(f"build-{name}") for s in tracker.getJobInfo(j).stageIds]
+        # Reading a table's schema is a job of one stage.
+        assert len(stages) <= 8 and all(tracker.getStageInfo(s) is None or tracker.getStageInfo(s).numTasks <= 1 for s in stages), name
+    spark.sparkContext.setLocalProperty("spark.jobGroup.id", None)
+
+
 def test_views_use_whole_tables(spark):
     assert V.drafts(spark, SF).count() == V.table(spark, SF, "orders").count()
     assert V.transactions(spark, SF).count() == V.table(spark, SF, "lineitem").count()
