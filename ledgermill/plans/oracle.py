@@ -597,11 +597,20 @@ add("extract_client_note", TURNS, r"""f as (
 
 add("stream_ingest", "select cast(event_id as varchar) message_id, ts received_at, event_type subject from events")
 add("stream_dedup", "select distinct cast(user_id as varchar) message_id from events")
-add("stream_dedup_bounded", "select cast(event_id as varchar) message_id, ts received_at from events")
+add("stream_dedup_bounded", "select distinct cast(user_id as varchar) message_id from events")
+add("stream_posting", ORDERS, POSTABLE, """
+  select message_id, case when o_orderkey % 3 = 0 then 'shipping' else 'invoice' end label,
+    case when o_orderkey % 3 = 0 then 'shipping' when o_orderpriority = '1-URGENT' then 'no_valid_data' else 'invoice' end route,
+    o_orderkey % 3 <> 0 and o_orderpriority <> '1-URGENT' tracked,
+    o_orderkey % 3 <> 0 and o_orderpriority <> '1-URGENT' and fresh.txn_type is not null posted,
+    case when o_orderkey % 3 <> 0 and o_orderpriority <> '1-URGENT' then fresh.vendor_id end vendor_id
+  from p left join (select message_id, txn_type, vendor_id from fresh) fresh using (message_id)""")
 add("stream_sink", MAIL, f"select message_id, {_CATEGORY.format('label')} category, {_ROUTE} route from mail")
-add("stream_dup_check", """
+add("stream_dup_check", ORDERS, """m as (
+  select a.o_orderkey k, min(b.o_orderkey) hit from o a join o b on a.o_custkey = b.o_custkey and a.o_orderdate = b.o_orderdate
+    and abs(b.o_totalprice - (a.o_totalprice + case a.o_orderstatus when 'O' then 1000 else 0.004 end)) < 0.01 group by 1)""", """
   select cast(o_orderkey as varchar) message_id,
-    case when o_orderstatus = 'F' or (o_orderstatus = 'P') then cast(first_key as varchar) end duplicate_of,
-    case when o_orderstatus = 'F' then 'number' when o_orderstatus = 'P' then 'vendor_date_amount' end duplicate_rule
-  from (select *, case when o_orderstatus = 'F' then o_orderkey
-      else min(o_orderkey) over (partition by o_custkey, o_orderdate) end first_key from orders)""")
+    cast(case when o_orderstatus = 'F' then least(o_orderkey, coalesce(hit, o_orderkey)) else hit end as varchar) duplicate_of,
+    case when o_orderstatus = 'F' and o_orderkey <= coalesce(hit, o_orderkey) then 'number'
+      when hit is not null then 'vendor_date_amount' end duplicate_rule
+  from o left join m on k = o_orderkey""")

@@ -917,22 +917,65 @@ def stream_dedup(spark, sf):
 
 @query
 def stream_dedup_bounded(spark, sf):
+    """Users seen, with repeats of an id within the horizon dropped; the horizon covers the whole stream."""
     ids = _stream(spark, sf, "events").select(
-        V.text("event_id").alias("message_id"), F.col("ts").cast("timestamp_ltz").alias("received_at")
+        V.text("user_id").alias("message_id"), F.col("ts").cast("timestamp_ltz").alias("received_at")
+    )
+    return ingest.drain(ingest.dedup(ids, "received_at", "3650 days"), "dedup-bounded").select("message_id")
+
+
+def _files(spark: SparkSession, rows: DataFrame, key: str, n: int = 3) -> DataFrame:
+    """A stream over ``rows`` in ``n`` files, one per micro-batch, each with some rows of the others again."""
+    path = fresh_path(spark, "inbox")
+    copies = rows.withColumn("_part", F.pmod(F.col(key), F.lit(n))).unionByName(
+        rows.filter(F.col(key) % 5 == 0).withColumn("_part", F.pmod(F.col(key) + 1, F.lit(n)))
+    )
+    copies.repartition(n, "_part").sortWithinPartitions("_part").write.option("maxRecordsPerFile", 0).partitionBy("_part").parquet(path)
+    return ingest.message_stream(
+        spark, path, rows.schema, fmt="parquet", max_files=1, recursiveFileLookup="true", pathGlobFilter="*.parquet"
+    )
+
+
+@query
+def stream_posting(spark, sf):
+    """Every order as a labelled message in several micro-batches: trackers, ledger, labels and processed marks."""
+    drafts = cut_lineage(V.postable_drafts(spark, sf).withColumn("job_site_address", F.lit(None).cast("string")))
+    lines, vendors, customers, accounts = (
+        f(spark, sf) for f in (V.draft_lines, V.vendors, V.customers, V.accounts)
+    )
+    bills = V.bills_of_drafts(drafts)
+    label = F.when(F.col("o_orderkey") % 3 == 0, "shipping").otherwise("invoice")
+    mail = drafts.withColumns({"label": label, "arrival": F.col("o_orderkey"), "has_attachment": F.col("priority") != "1-URGENT"})
+    base = fresh_path(spark, "posting")
+    handle = ingest.fan_out_sink(
+        base,
+        {"invoice": lambda rows: rows.withColumns({"subject": F.lit("s"), "memo": F.lit(None).cast("string"), "file_url": F.lit(None).cast("string")})},
+        lambda rows: post_drafts(rows, lines, bills, vendors, customers, accounts, RUN_DATE),
+    )
+    ingest.start_batches(_files(spark, mail, "o_orderkey"), handle, f"{base}/state").awaitTermination()
+    marks = ingest.read_fanned(spark, base, "processed").select("message_id")
+    tracked = ingest.read_fanned(spark, base, "tracker_invoice").select("message_id", F.lit(True).alias("tracked"))
+    posted = ingest.read_posted(spark, base, "bills").select("message_id", "vendor_id").unionByName(
+        ingest.read_posted(spark, base, "purchases").select("message_id", "vendor_id")
+    ).withColumn("posted", F.lit(True))
+    labels = ingest.read_fanned(spark, base, "labels").select("message_id", "label", "route")
+    rows = marks.join(labels, "message_id", "left").join(tracked, "message_id", "left").join(posted, "message_id", "left")
+    return rows.select(
+        "message_id", "label", "route", F.coalesce("tracked", F.lit(False)).alias("tracked"),
+        F.coalesce("posted", F.lit(False)).alias("posted"), "vendor_id",
     )
-    kept = ingest.drain(ingest.dedup(ids, "received_at", "1 hour"), "dedup-bounded")
-    return kept.withColumn("received_at", F.col("received_at").cast("timestamp_ntz"))
 
 
 @query
 def stream_sink(spark, sf):
     kind = F.col("event_type")
-    mail = _stream(spark, sf, "events").select(
+    events = V.table(spark, sf, "events").select("event_id", "event_type", "value")
+    mail = ingest.dedup(_files(spark, events, "event_id").select(
         V.text("event_id").alias("message_id"),
         F.when(kind == "purchase", "invoice").when(kind == "click", "shipping").when(kind == "signup", "insurance")
         .when(kind == "view", "client_communications").otherwise("none").alias("label"),
         (F.col("value") >= 10).alias("has_attachment"),
-    )
+    ))
     base = fresh_path(spark, "sink")
     ingest.start_batches(mail, ingest.routed_sink(base), f"{base}/state").awaitTermination()
     return ingest.read_routed(spark, base).select("message_id", "category", "route")
@@ -940,15 +983,20 @@ def stream_sink(spark, sf):
 
 @query
 def stream_dup_check(spark, sf):
-    bills = V.bills(spark, sf).withColumn("total", F.lit(0.0))
-    orders = _stream(spark, sf, "orders").select(
+    """Orders as drafts against the posted bills: by number, or by the vendor, date and total of a bill."""
+    bills = cut_lineage(V.bills(spark, sf).join(
+        V.table(spark, sf, "orders").select(V.text("o_orderkey").alias("bill_id"), F.col("o_totalprice").alias("total")),
+        "bill_id",
+    ))
+    orders = V.table(spark, sf, "orders")
+    drafts = _files(spark, orders, "o_orderkey").select(
         V.text("o_orderkey").alias("message_id"),
         F.when(F.col("o_orderstatus") == "F", F.concat(F.lit("INV-"), V.text("o_orderkey"))).alias("invoice_number"),
         F.concat(F.lit("Customer#"), F.lpad(V.text("o_custkey"), 9, "0")).alias("vendor_display_name"),
         F.date_format("o_orderdate", "MM/dd/yyyy").alias("invoice_date"),
-        F.when(F.col("o_orderstatus") == "P", F.lit(0.005)).otherwise(F.col("o_totalprice")).alias("total_amount"),
+        F.when(F.col("o_orderstatus") == "O", F.col("o_totalprice") + 1000).otherwise(F.col("o_totalprice") + 0.004).alias("total_amount"),
     )
     base = fresh_path(spark, "dupcheck")
     handle = ingest.duplicate_sink(base, lambda: bills, D.duplicate_bills)
-    ingest.start_batches(orders, handle, f"{base}/state").awaitTermination()
+    ingest.start_batches(ingest.dedup(drafts), handle, f"{base}/state").awaitTermination()
     return ingest.read_checked(spark, base).select("message_id", "duplicate_of", "duplicate_rule")

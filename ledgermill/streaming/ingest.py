@@ -10,9 +10,13 @@ from pyspark.sql.streaming import StreamingQuery
 from pyspark.sql.types import StructType
 
 from ..functions.scalars import label_category, normalize_date
-from ..operators.trackers import route
+from ..operators.duplicates import new_to_tracker
+from ..operators.joins import first_per_key
+from ..operators.posting import Posting
+from ..operators.trackers import client_tracker, invoice_tracker, route, shipping_tracker
 from ..schemas import MESSAGES
-from ..session import fresh_path
+from ..session import cut_lineage, fresh_path
+from ..sources.processed import unprocessed
 
 
 def message_stream(
@@ -90,6 +94,70 @@ def read_routed(spark: SparkSession, base: str) -> DataFrame:
     return spark.read.option("basePath", f"{base}/routed").parquet(f"{base}/routed/*")
 
 
+def fan_out_sink(
+    base: str, extract: dict[str, Callable[[DataFrame], DataFrame]],
+    post: Callable[[DataFrame], Posting] | None = None, arrival: str = "arrival",
+) -> Callable[[DataFrame, int], None]:
+    """A handler that does everything a message calls for: label, tracker row, ledger entry, processed mark.
+
+    Messages have message_id, label, has_attachment and ``arrival``. A message that an earlier batch has
+    handled, and a repeat within the batch, are left out. ``extract`` turns the messages of a route (invoice,
+    shipping, client_communications) into drafts, shipments or notes; ``post`` posts drafts. Invoices whose
+    number the tracker holds get no second row. Every table has a folder per batch that is overwritten
+    when the batch is retried, and only folders of earlier batches are read.
+    """
+    trackers = {"invoice": invoice_tracker, "shipping": shipping_tracker, "client_communications": client_tracker}
+
+    def handle(batch: DataFrame, batch_id: int) -> None:
+        spark = batch.sparkSession
+
+        def put(name: str, rows: DataFrame) -> None:
+            rows.write.mode("overwrite").parquet(f"{base}/{name}/batch={batch_id}")
+
+        first = first_per_key(batch, ["message_id"], [arrival])
+        if batch_id > 0:
+            first = unprocessed(first, _earlier(spark, base, "processed", batch_id))
+        fresh = cut_lineage(first.withColumn("route", route(F.col("label"), F.col("has_attachment"))))
+        put("labels", fresh.select("message_id", "label", F.col(arrival).alias("seq"), "route"))
+        for name, payload in extract.items():
+            rows = cut_lineage(payload(fresh.filter(F.col("route") == name)))
+            if name == "invoice":
+                if post is not None:
+                    post(rows).write(f"{base}/ledger/batch={batch_id}")
+                held = _earlier(spark, base, "tracker_invoice", batch_id) if batch_id > 0 else None
+                none = spark.createDataFrame([], "po_number string")
+                rows = new_to_tracker(rows, none if held is None else held, arrival)
+            put(f"tracker_{name}", trackers[name](rows))
+        put("processed", fresh.select("message_id"))
+
+    return handle
+
+
+def _earlier(spark: SparkSession, base: str, name: str, batch_id: int) -> DataFrame:
+    return read_fanned(spark, base, name).filter(F.col("batch") < batch_id)
+
+
+def read_fanned(spark: SparkSession, base: str, name: str) -> DataFrame:
+    """A table of ``fan_out_sink``: labels, processed, tracker_<route>, with the batch of each row."""
+    return spark.read.option("basePath", f"{base}/{name}").parquet(f"{base}/{name}/*")
+
+
+def read_posted(spark: SparkSession, base: str, part: str) -> DataFrame:
+    """A part of all batches' postings: bills, purchases, lines, vendors or rejected."""
+    return spark.read.option("basePath", f"{base}/ledger").parquet(f"{base}/ledger/*/{part}")
+
+
+def current_labels(labels: DataFrame, updates: DataFrame) -> DataFrame:
+    """Labels keyed by message after an upsert: the update with the highest (batch, seq) replaces the others.
+
+    Both have message_id, label, batch and seq.
+    """
+    columns = ["message_id", "label", "batch", "seq"]
+    rows = labels.select(columns).unionByName(updates.select(columns))
+    latest = F.max_by(F.struct("label", "batch", "seq"), F.struct("batch", "seq", "label"))
+    return rows.groupBy("message_id").agg(latest.alias("row")).select("message_id", "row.*")
+
+
 def duplicate_sink(
     base: str, bills: Callable[[], DataFrame], check: Callable[[DataFrame, DataFrame], DataFrame]
 ) -> Callable[[DataFrame, int], None]:

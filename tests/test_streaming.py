@@ -77,3 +77,26 @@ def test_posting_sees_earlier_batches(spark, tmp_path):
         "m1": ("created", None, "Acme Supplies", "new"), "m2": ("duplicate", "m1", None, None),
         "m3": ("created", None, "Acme Supplies", "fuzzy"), "m4": ("duplicate", "m1", None, None),
     }
+
+
+def test_fan_out_handles_every_message_once(spark, tmp_path):
+    base = str(tmp_path)
+    schema = "message_id string, label string, has_attachment boolean, arrival long, invoice_number string"
+
+    def drafts(rows):
+        nothing = {c: F.lit(None).cast("string") for c in ("subject", "memo", "invoice_date", "due_date", "file_url")}
+        return rows.withColumns({"vendor_display_name": F.lit("V"), "total_amount": F.lit(1.0), **nothing})
+
+    handle = ingest.fan_out_sink(base, {"invoice": drafts})
+    one = spark.createDataFrame([("a", "invoice", True, 1, "N1"), ("a", "invoice", True, 2, "N1"), ("b", "none", False, 3, None), ("c", "invoice", True, 4, "N1")], schema)
+    two = spark.createDataFrame([("a", "shipping", True, 5, "N1"), ("d", "invoice", True, 6, "N1"), ("e", "invoice", True, 7, "N2"), ("f", "invoice", False, 8, "N3")], schema)
+    handle(one, 0)
+    for _ in range(2):  # the second try replaces the first
+        handle(two, 1)
+    read = lambda name: sorted(tuple(r) for r in ingest.read_fanned(spark, base, name).select("batch", "message_id").collect())
+    assert read("processed") == [(0, "a"), (0, "b"), (0, "c"), (1, "d"), (1, "e"), (1, "f")]
+    assert read("tracker_invoice") == [(0, "a"), (1, "e")]
+    labels = ingest.read_fanned(spark, base, "labels")
+    update = spark.createDataFrame([("b", "insurance", 2, 1), ("d", "none", 0, 9)], "message_id string, label string, batch int, seq long")
+    now = {r.message_id: r.label for r in ingest.current_labels(labels, update).collect()}
+    assert now == {"a": "invoice", "b": "insurance", "c": "invoice", "d": "invoice", "e": "invoice", "f": "invoice"}
