@@ -19,7 +19,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.scalars import normalize_date, strip
-from ..session import cut_lineage
+from ..session import cut_lineage, discard
 from .duplicates import duplicate_bills
 from .fuzzy import similar_pairs
 from .joins import best_per_key, first_per_key, keyed_join
@@ -196,9 +196,12 @@ def post_in_order(
         unchanged = _same_rows(now, registered)
         if unchanged and moved.isEmpty():
             break
+        done = [state] if state is not active and hasattr(state, "cut_path") else []
         state = after
         if not unchanged:
+            done += [registered, resolved]
             registered, resolved = cut_lineage(now), None
+        discard(*done)  # tables of earlier rounds
 
     final_bills = state.filter((F.col("status") == "created") & ~receipt)
     repeats = _earlier_duplicate(passive.filter(~receipt), final_bills).unionByName(

@@ -10,25 +10,28 @@ from __future__ import annotations
 from collections.abc import Callable, Iterable, Iterator
 
 import pandas as pd
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.scalars import blank, present, strip
 from ..schemas import CLIENT_PAYLOAD, INVOICE_PAYLOAD, LABELS, SHIPPING_PAYLOAD, URGENCIES
+from .joins import keyed_join
 
-# A model factory is called once per partition and returns a function from
-# (text, instructions) to a JSON string, or None when no answer could be had.
-ModelFactory = Callable[[], Callable[[str, str], str | None]]
+# A model factory is called once per partition and returns a function from (text or bytes, instructions)
+# to a JSON string, or None when no answer could be had.
+ModelFactory = Callable[[], Callable[[str | bytes, str], str | None]]
 
 
 # --- the hook --------------------------------------------------------------------
 
 
 def ask_model(messages: DataFrame, make_model: ModelFactory, instructions: str) -> DataFrame:
-    """(message_id, answer): one model call per message text, one client per partition.
+    """(message_id, answer, error): one model call per message, one client per partition.
 
-    An exception in a call becomes a null answer with its message in ``error``, so one
-    bad message never fails the batch.
+    The model gets the message's ``text``, or the bytes in ``content`` where there are any (an image, say), and the
+    instructions, followed by the message's own ``context`` where there is one; both columns are optional. An
+    exception in a call becomes a null answer with its message in ``error``, so one bad message never
+    fails the batch.
     """
 
     def run(batches: Iterable[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -37,9 +40,10 @@ def ask_model(messages: DataFrame, make_model: ModelFactory, instructions: str)
         model = make_model()
         for batch in batches:
             answers, errors = [], []
-            for text in batch["text"]:
+            for text, content, context in zip(batch["text"], batch["content"], batch["context"]):
                 try:
-                    answers.append(model(text, instructions))
+                    payload = text if content is None else bytes(content)
+                    answers.append(model(payload, with_context(instructions, context)))
                     errors.append(None)
                 except Exception as problem:  # noqa: BLE001 - goes to quarantine
                     answers.append(None)
@@ -49,7 +53,36 @@ def ask_model(messages: DataFrame, make_model: ModelFactory, instructions: str)
             )
 
     schema = "message_id string, answer string, error string"
-    return messages.select("message_id", "text").mapInPandas(run, schema)
+    optional = {"content": "binary", "context": "string"}
+    columns = [
+        F.col(c) if c in messages.columns else F.lit(None).cast(kind).alias(c) for c, kind in optional.items()
+    ]
+    return messages.select("message_id", "text", *columns).mapInPandas(run, schema)
+
+
+#: A word of more customers than this says too little about which one is meant.
+COMMON_WORD = 50
+
+
+def with_candidates(messages: DataFrame, customers: DataFrame, context: DataFrame, most: int = 20) -> DataFrame:
+    """Messages with ``context``: the lines of the ``most`` customers that share most rare words with the text.
+
+    ``context`` has ord and line, one row per customer (``customers_context``). Words of more than
+    ``COMMON_WORD`` customers are not looked up, so a word brings a bounded number of candidates, and a model
+    never sees the whole master. A message without candidates has a null context.
+    """
+    split = lambda c: F.array_distinct(F.filter(F.split(F.lower(c), r"[^\p{L}\p{N}#]+"), lambda w: F.length(w) > 2))
+    words = customers.select("ord", F.explode(split(F.col("display_name"))).alias("word"))
+    rare = words.groupBy("word").agg(F.count(F.lit(1)).alias("n")).filter(F.col("n") <= COMMON_WORD).select("word")
+    asked = messages.select("message_id", F.explode(split(F.col("text"))).alias("word"))
+    met = keyed_join(keyed_join(asked, rare, ["word"], "left_semi"), words, ["word"], "inner")
+    ranked = met.groupBy("message_id", "ord").agg(F.count(F.lit(1)).alias("shared"))
+    order = Window.partitionBy("message_id").orderBy(F.desc("shared"), "ord")
+    best = ranked.withColumn("place", F.row_number().over(order)).filter(F.col("place") <= most)
+    lines = keyed_join(best, context.select("ord", "line"), ["ord"], "inner")
+    listed = lines.groupBy("message_id").agg(F.sort_array(F.collect_list(F.struct("place", "line"))).alias("rows"))
+    listed = listed.select("message_id", F.array_join(F.col("rows.line"), "\n").alias("context"))
+    return keyed_join(messages, listed, ["message_id"], "left")
 
 
 # What a model is asked to do with the candidates that follow; callers may word it as they like.
@@ -241,13 +274,13 @@ def extract_invoice_json(text: Column) -> Column:
 
 def extract_invoices(
     messages: DataFrame, make_model: ModelFactory | None = None,
-    instructions: str = "", context: str | None = None,
+    instructions: str = "",
 ) -> DataFrame:
-    """(message_id, payload columns, errors) of invoice texts."""
+    """(message_id, payload columns, errors) of invoices; see ``ask_model`` for images and customer lists."""
     if make_model is None:
         answers = messages.select("message_id", extract_invoice_json(F.col("text")).alias("answer"))
     else:
-        answers = ask_model(messages, make_model, with_context(instructions, context))
+        answers = ask_model(messages, make_model, instructions)
     return parse_invoices(answers)
 
 

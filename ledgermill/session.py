@@ -69,6 +69,10 @@ def spread(df: DataFrame) -> DataFrame:
     return df.repartition(cores) if df.rdd.getNumPartitions() < cores else df
 
 
+# Shuffle files of a finished statement are deleted at once instead of when the driver happens to collect garbage.
+_CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+
+
 def cut_lineage(df: DataFrame) -> DataFrame:
     """Write ``df`` to the shared folder and read it back.
 
@@ -76,6 +80,23 @@ def cut_lineage(df: DataFrame) -> DataFrame:
     feeds several later steps or a driver loop would otherwise grow the plan.
     """
     spark = df.sparkSession
-    path = fresh_path(spark, "cut")
-    df.write.parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+    path, before = fresh_path(spark, "cut"), spark.conf.get(_CLEANUP, None)
+    spark.conf.set(_CLEANUP, "true")
+    try:
+        df.write.parquet(path)
+    finally:
+        if before is None:
+            spark.conf.unset(_CLEANUP)
+        else:
+            spark.conf.set(_CLEANUP, before)
+    table = spark.read.schema(df.schema).parquet(path)
+    table.cut_path = path
+    return table
+
+
+def discard(*tables: DataFrame) -> None:
+    """Delete tables that ``cut_lineage`` wrote and nothing reads any more."""
+    for df in tables:
+        conf = df.sparkSession._jsparkSession.sessionState().newHadoopConf()
+        path = df.sparkSession._jvm.org.apache.hadoop.fs.Path(df.cut_path)
+        path.getFileSystem(conf).delete(path, True)

@@ -60,3 +60,27 @@ def test_amounts_beyond_any_integer(spark):
 def test_context_is_worded_by_the_caller():
     assert M.with_context("Do it.", None) == "Do it."
     assert M.with_context("Do it.", "- A", "Pick one:") == "Do it.\n\nPick one:\n- A"
+
+
+def test_images_and_candidates_reach_the_model(spark):
+    import json
+
+    def make_model():
+        def model(payload, instructions):
+            kind = "bytes" if isinstance(payload, bytes) else "text"
+            return json.dumps({"vendor_display_name": kind, "line_items": [], "memo": instructions})
+
+        return model
+
+    mail = spark.createDataFrame(
+        [("1", "For Miller Garden, Oak Street", None), ("2", None, bytearray(b"\x89PNG")), ("3", "no one known", None)],
+        "message_id string, text string, content binary",
+    )
+    names = ["Miller Garden", "Oak Miller"] + [f"Street {k}" for k in range(60)]
+    customers = spark.createDataFrame([(k, n) for k, n in enumerate(names)], "ord long, display_name string")
+    lines = customers.selectExpr("ord", "concat('- ', display_name) as line")
+    asked = M.with_candidates(mail, customers, lines, most=2)
+    got = {r.message_id: r for r in M.extract_invoices(asked, make_model, "Read it.").collect()}
+    assert [got[i].vendor_display_name for i in "123"] == ["text", "bytes", "text"]
+    assert got["1"].memo == M.with_context("Read it.", "- Miller Garden\n- Oak Miller")
+    assert got["2"].memo == got["3"].memo == "Read it."
