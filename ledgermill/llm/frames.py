@@ -7,38 +7,12 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ledgermill.llm.kernels import FILTER_BITS
-from ledgermill.session import fresh_path
-
-_CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+from ledgermill.session import cut_lineage as cut
+from ledgermill.session import discard as drop
 
 _PIECE = 32_768  # bits held by one value of bitmap_construct_agg
 
 
-def cut(df: DataFrame) -> DataFrame:
-    """Write ``df`` to the shared folder and read it back; its shuffle files go as soon as it is written."""
-    spark = df.sparkSession
-    path, before = fresh_path(spark, "cut"), spark.conf.get(_CLEANUP, None)
-    spark.conf.set(_CLEANUP, "true")
-    try:
-        df.write.parquet(path)
-    finally:
-        if before is None:
-            spark.conf.unset(_CLEANUP)
-        else:
-            spark.conf.set(_CLEANUP, before)
-    out = spark.read.schema(df.schema).parquet(path)
-    out.cut_path = path
-    return out
-
-
-def drop(*tables: DataFrame) -> None:
-    """Delete tables written by :func:`cut` that nothing reads any more."""
-    for df in tables:
-        jvm, conf = df.sparkSession._jvm, df.sparkSession._jsparkSession.sessionState().newHadoopConf()
-        path = jvm.org.apache.hadoop.fs.Path(df.cut_path)
-        path.getFileSystem(conf).delete(path, True)
-
-
 def bitmap_of(hashes: DataFrame) -> np.ndarray:
     """Bitmap of the 64-bit hashes in the only column, ``FILTER_BITS`` bits whatever the input.
 
