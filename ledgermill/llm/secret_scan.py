@@ -107,13 +107,18 @@ def with_features(found: DataFrame) -> DataFrame:
 def made_up_findings(docs: DataFrame) -> DataFrame:
     """Labelled findings (the columns of :func:`findings_in` and ``label``) around words of the corpus.
 
-    At most CONTEXTS documents are used, those with the smallest hash of their text.
+    At most CONTEXTS documents are used, those with the smallest hash of their text. Rows that cannot be among
+    them go before anything is shuffled: with hashes spread evenly, the smallest lie below a few shares of their range.
     """
     words = F.filter(F.split("text", r"\s+"), lambda w: w.rlike(r"^\p{L}{1,12}$"))
+    n = max(1, docs.count())
+    ticket = F.pmod("h", F.lit(1 << 30)) / float(1 << 30)
     context = (
         docs.filter("text is not null").withColumn("h", F.xxhash64("text", F.lit(8)))
-        .orderBy("h").limit(CONTEXTS)
-        .select("h", F.slice(words, 1, CONTEXT_WORDS).alias("w"))
+        .filter(ticket < 3.0 * CONTEXTS / n)
+        # Copies of one text count once.
+        .groupBy("h").agg(F.min(F.slice(words, 1, CONTEXT_WORDS)).alias("w"))
+        .orderBy(ticket, "h").limit(CONTEXTS)
     )
     # An empty corpus still gives a forest.
     blank = docs.sparkSession.range(40).select(
