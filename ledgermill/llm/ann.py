@@ -21,7 +21,7 @@ from ledgermill.llm.frames import cut
 TABLES, PROBES = 16, 4
 ROUNDS = 3
 #: Rows of one block, and queries of one block.
-ROWS, QUERIES = 4096, 1024
+ROWS, QUERIES = 4096, 4096
 
 
 def _hadamard(x: np.ndarray) -> np.ndarray:
@@ -178,15 +178,20 @@ def search(
     def once(df: DataFrame) -> DataFrame:
         return usable(df).groupBy("vec_id").agg(F.min("embedding").alias("embedding"))
 
-    rows = once(vectors).mapInArrow(_blocks(ROWS, lambda x: buckets(x, tables)), _BLOCK_ROW)
+    def blocks(df: DataFrame, size: int, place) -> DataFrame:
+        """Packed blocks; small partitions are joined, as a block holds rows of one partition."""
+        table = cut(once(df))
+        return table.coalesce(max(1, -(-table.count() // size))).mapInArrow(_blocks(size, place), _BLOCK_ROW)
+
+    rows = blocks(vectors, ROWS, lambda x: buckets(x, tables))
     asked = cut(
-        once(queries).mapInArrow(_blocks(QUERIES, lambda x: probed(x, tables, probes)), _BLOCK_ROW)
+        blocks(queries, QUERIES, lambda x: probed(x, tables, probes))
         .select(F.monotonically_increasing_id().alias("lane"), "*")
     )
-    # Blocks of queries per width, a few bytes for every 1,024 queries; the blocks themselves are joined.
+    # Blocks of queries per width: eight bytes for every 4,096 queries. The blocks themselves are joined.
     lanes = asked.groupBy("width").agg(F.collect_list("lane").alias("lanes"))
     pairs = (
-        rows.join(lanes, "width").withColumn("lane", F.explode("lanes")).drop("lanes", "block", "n")
+        rows.join(F.broadcast(lanes), "width").withColumn("lane", F.explode("lanes")).drop("lanes", "block", "n")
         .join(
             asked.select(
                 "lane", F.col("ids").alias("q_ids"), F.col("vectors").alias("q_vectors"),
