@@ -33,6 +33,8 @@ from ledgermill.llm.frames import bitmap_of, components, cut, drop
 LONG_LIST = 16
 #: Sets up to this size are kept whole, and the boundary is looked for up to it.
 LARGEST_SMALL = 24
+#: Longs of the shortest sketch, and of the folded one that travels with the members of open lists.
+_SMALL = 8
 #: Cost of a row that is scanned and may need checking, in rows of a listed subset.
 SCAN_COST = 4
 
@@ -53,7 +55,7 @@ def _kept(s: int) -> int:
 
 def _sketch(x: np.ndarray) -> np.ndarray:
     """Parity of the number of shingles per slot, as longs; a power of two of slots, at least one each."""
-    bits = max(256, 1 << (len(x) - 1).bit_length()) if len(x) else 256
+    bits = max(64 * _SMALL, 1 << (len(x) - 1).bit_length()) if len(x) else 64 * _SMALL
     slot = ((x.view(np.uint64) >> np.uint64(20)) & np.uint64(bits - 1)).astype(np.int64)
     odd = (np.bincount(slot, minlength=bits) & 1).astype(np.uint8)
     return np.packbits(odd, bitorder="little").view(np.int64)
@@ -193,6 +195,34 @@ def _sizes_fit(a: Column, b: Column) -> Column:
     return F.greatest(a, b) * 4 <= F.least(a, b) * 5
 
 
+def _half(sketch: Column) -> Column:
+    """The same sketch with half as many slots."""
+    n = F.size(sketch).cast("int")
+    low, high = F.slice(sketch, F.lit(1), (n / 2).cast("int")), F.slice(sketch, (n / 2).cast("int") + 1, n)
+    return F.zip_with(low, high, lambda a, b: a.bitwiseXOR(b))
+
+
+def _differing(u: Column, v: Column) -> Column:
+    """Slots in which two sketches differ; the longer one, twice as long at most, is halved first."""
+    x = F.when(F.size(u) > F.size(v), _half(u)).otherwise(u)
+    y = F.when(F.size(v) > F.size(u), _half(v)).otherwise(v)
+    return F.aggregate(
+        F.zip_with(x, y, lambda a, b: F.bit_count(a.bitwiseXOR(b))), F.lit(0), lambda total, z: total + z
+    )
+
+
+def _folded(sketch: Column) -> list[Column]:
+    """A sketch folded to ``_SMALL`` longs, one column each."""
+    times = (F.size(sketch) / _SMALL).cast("int")
+    return [
+        F.aggregate(
+            F.sequence(F.lit(0), times - 1), F.lit(0).cast("long"),
+            lambda acc, j: acc.bitwiseXOR(F.get(sketch, j * _SMALL + i)),
+        ).alias(f"s{i}")
+        for i in range(_SMALL)
+    ]
+
+
 def verified(pairs: DataFrame, reps: DataFrame, texts: DataFrame) -> DataFrame:
     """The pairs (u, v) of classes that link.
 
@@ -204,18 +234,7 @@ def verified(pairs: DataFrame, reps: DataFrame, texts: DataFrame) -> DataFrame:
     def side(name: str) -> DataFrame:
         return reps.select(F.col("node").alias(name), *[F.col(c).alias(f"{name}_{c}") for c in about])
 
-    def half(sketch: Column) -> Column:
-        """The same sketch with half as many slots."""
-        n = F.size(sketch).cast("int")
-        low, high = F.slice(sketch, F.lit(1), (n / 2).cast("int")), F.slice(sketch, (n / 2).cast("int") + 1, n)
-        return F.zip_with(low, high, lambda a, b: a.bitwiseXOR(b))
-
-    # Sizes that fit differ by a quarter at most, so slots by a factor of two at most.
-    u, v = F.col("u_sketch"), F.col("v_sketch")
-    u, v = F.when(F.size(u) > F.size(v), half(u)).otherwise(u), F.when(F.size(v) > F.size(u), half(v)).otherwise(v)
-    differ = F.aggregate(
-        F.zip_with(u, v, lambda a, b: F.bit_count(a.bitwiseXOR(b))), F.lit(0), lambda total, x: total + x
-    )
+    differ = _differing(F.col("u_sketch"), F.col("v_sketch"))
     sizes = F.col("u_n_shingles") + F.col("v_n_shingles")
     close = cut(
         pairs.join(side("u"), "u").join(side("v"), "v")
@@ -239,7 +258,7 @@ _PREFIX = "n_shingles - (n_shingles * 4 + 4) div 5 + 1"
 
 
 def list_rows(reps: DataFrame, texts: DataFrame, smallest: int) -> DataFrame:
-    """(token, node, n_shingles, reread, own): members of the inverted lists.
+    """(token, node, n_shingles, reread, own, center): members of the inverted lists.
 
     Long lists are told by an exact count. A set with a long list's shingle among its first ones
     takes later shingles instead; where those kept do not suffice, its whole set is read again. Two sets
@@ -277,9 +296,13 @@ def list_rows(reps: DataFrame, texts: DataFrame, smallest: int) -> DataFrame:
     )
     whole = cut(
         full.join(long_tokens.withColumn("long", F.lit(True)), "token", "left").join(rare, "token")
-        .groupBy("node", "n_shingles").agg(by_length.alias("met"), by_count.alias("own"))
-        .select("node", "n_shingles", F.inline(places))
-        .select("token", "node", "n_shingles", F.lit(True).alias("reread"), "own")
+        .groupBy("node", "n_shingles").agg(
+            by_length.alias("met"), by_count.alias("own"),
+            # Share of shingles that others have too; the original of many edited copies has the most.
+            F.avg((F.col("m") > 1).cast("double")).alias("center"),
+        )
+        .select("node", "n_shingles", "center", F.inline(places))
+        .select("token", "node", "n_shingles", F.lit(True).alias("reread"), "own", "center")
     )
     drop(full)
     unseen = whole.filter("not own").select("token", F.lit(0).cast("long").alias("n"))
@@ -294,7 +317,8 @@ def list_rows(reps: DataFrame, texts: DataFrame, smallest: int) -> DataFrame:
     ))
     place = F.when(F.col("n") > LONG_LIST, F.col("kept") - n_long + ahead).otherwise(F.col("rank") - ahead)
     met = met.filter(place < prefix).select(
-        "token", "node", "n_shingles", F.lit(False).alias("reread"), F.lit(False).alias("own")
+        "token", "node", "n_shingles", F.lit(False).alias("reread"), F.lit(False).alias("own"),
+        F.lit(0.0).alias("center"),
     )
     lists = cut(met.unionByName(whole))
     drop(shared, touched, whole)
@@ -307,9 +331,12 @@ def link_components(reps: DataFrame, texts: DataFrame) -> DataFrame:
     limit = boundary({r["n_shingles"]: r["count"] for r in few})
     lists = list_rows(reps, texts, needed(limit + 1))
 
-    heads = lists.groupBy("token").agg(F.min("node").alias("v"), F.max("node").alias("last"))
+    heads = lists.groupBy("token").agg(
+        F.max_by("node", F.struct("center", "node")).alias("v"),
+        F.min("node").alias("first"), F.max("node").alias("last"),
+    )
     met = (
-        lists.join(heads.filter("v <> last"), "token").filter("node <> v")
+        lists.join(heads.filter("first <> last").select("token", "v"), "token").filter("node <> v")
         .groupBy(F.col("node").alias("u"), "v").agg(F.count(F.lit(1)).alias("n"))
     )
     tries = met.groupBy("u").agg(F.max_by("v", F.struct("n", "v")).alias("v"))
@@ -325,20 +352,27 @@ def link_components(reps: DataFrame, texts: DataFrame) -> DataFrame:
         .agg(F.min("component").alias("a"), F.max("component").alias("b"))
         .filter("a <> b").select("token")
     )
-    left_open = placed.join(open_lists, "token")
+    small = reps.select("node", *_folded(F.col("sketch")))
+    left_open = cut(placed.join(open_lists, "token").join(small, "node").drop("center"))
     other = left_open.select(
         "token", F.col("node").alias("v"), F.col("n_shingles").alias("v_n"),
         F.col("component").alias("v_component"), F.col("reread").alias("v_reread"),
+        *[F.col(f"s{i}").alias(f"v_s{i}") for i in range(_SMALL)],
     )
+    # Plain columns, since this is computed for every pair within a list.
+    differ = F.lit(0)
+    for i in range(_SMALL):
+        differ = differ + F.bit_count(F.col(f"s{i}").bitwiseXOR(F.col(f"v_s{i}")))
     pairs = (
         left_open.withColumnRenamed("node", "u").join(other, "token")
         .filter("u < v and component <> v_component and (own or not (reread and v_reread))")
         .filter(_sizes_fit(F.col("n_shingles"), F.col("v_n")))
+        .filter(differ * 9 <= F.col("n_shingles") + F.col("v_n"))
         .select("u", "v").distinct()
     )
     late = verified(pairs, reps, texts)
     joined = components(found.unionByName(late))
-    drop(lists, parts, placed)
+    drop(lists, parts, placed, left_open)
     return joined
 
 
