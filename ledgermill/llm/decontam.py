@@ -18,7 +18,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ledgermill.llm import kernels as K
-from ledgermill.llm.frames import bitmap_of, cut
+from ledgermill.llm.frames import bitmap_of, cut, small_batches
 
 #: Words of a window; of a shorter item all its words are one window. At least LITERAL of a window's words
 #: are no placeholders, and items of fewer than SHORTEST words are never matched.
@@ -173,7 +173,7 @@ def contaminated(docs: DataFrame, benchmark: DataFrame, key: str = "doc_id", cov
     # A bitmap of fixed size keeps windows that no item has out of the join; the join is exact.
     bits = bitmap_of(items.select("hash"))
     sizes = sorted(r["size"] for r in items.select("size").distinct().collect())
-    texts = docs.select(F.col(key).cast("long").alias("key"), F.col("text").cast("string").alias("text"))
+    texts = small_batches(docs).select(F.col(key).cast("long").alias("key"), F.col("text").cast("string").alias("text"))
     found = texts.filter("key is not null and text is not null").mapInArrow(
         _doc_windows(bits, sizes), f"key long, {_WINDOW_ROW}"
     )

@@ -13,6 +13,19 @@ from ledgermill.session import discard as drop
 _PIECE = 32_768  # bits held by one value of bitmap_construct_agg
 
 
+#: Rows and bytes of one batch handed to Python. A batch is held several times over, by the JVM and by Python, and texts
+#: may be long, so the defaults (10,000 rows, 64 MB) would need hundreds of megabytes per task.
+BATCH_ROWS, BATCH_BYTES = 1000, 4 << 20
+
+
+def small_batches(df: DataFrame) -> DataFrame:
+    """``df``, after its session has been told to hand rows to Python in small batches."""
+    conf = df.sparkSession.conf
+    conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(BATCH_ROWS))
+    conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(BATCH_BYTES))
+    return df
+
+
 def bitmap_of(hashes: DataFrame) -> np.ndarray:
     """Bitmap of the 64-bit hashes in the only column, ``FILTER_BITS`` bits whatever the input.
 

@@ -27,7 +27,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ledgermill.llm import kernels as K
-from ledgermill.llm.frames import bitmap_of, components, cut, drop
+from ledgermill.llm.frames import bitmap_of, components, cut, drop, small_batches
 
 #: A list with more members than this is long: its shingle goes to the end of the order.
 LONG_LIST = 16
@@ -383,7 +383,9 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
     component and links nothing. Repeated rows are returned as often as they occur. Other
     columns of ``docs`` are ignored; an empty table gives an empty result.
     """
-    texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
+    texts = small_batches(docs).select(
+        F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text")
+    )
     sets = cut(texts.mapInArrow(_describe, _SET_ROW))
     rows = cut(sets.select("doc_id", "n_shingles", "node"))
     usable = sets.filter("doc_id is not null and n_shingles > 0")

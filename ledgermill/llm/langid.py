@@ -19,7 +19,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ledgermill.llm import kernels as K
-from ledgermill.llm.frames import held_out
+from ledgermill.llm.frames import held_out, small_batches
 
 #: Texts per language that are learned from, those of them that are landmarks, and bytes read of each.
 LEARNED, LANDMARKS, LEARNED_BYTES = 200, 40, 1024
@@ -217,4 +217,4 @@ def identify(docs: DataFrame) -> DataFrame:
         F.col("doc_id").cast("long").alias("doc_id"), held_out(F.col("doc_id")).alias("held_out"),
         F.col("text").cast("string").alias("text"),
     )
-    return rows.mapInArrow(_predict(model), "doc_id long, held_out boolean, lang_pred string, score double")
+    return small_batches(rows).mapInArrow(_predict(model), "doc_id long, held_out boolean, lang_pred string, score double")

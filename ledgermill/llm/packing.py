@@ -22,6 +22,7 @@ from pyspark.sql import functions as F
 
 from ledgermill.llm import kernels as K
 from ledgermill.llm.frames import cut as cut_table
+from ledgermill.llm.frames import small_batches
 
 CAPACITY = 2048
 #: Pieces of one length that one task numbers.
@@ -45,7 +46,8 @@ _CODES = K.salt(_LATIN)
 # Byte-level models write a byte that is no visible Latin character as one from 256 on.
 _VISIBLE = {*range(0x21, 0x7F), *range(0xA1, 0xAD), *range(0xAE, 0x100)}
 _BYTE_CHARS = {b: chr(256 + k) for k, b in enumerate(b for b in range(256) if b not in _VISIBLE)}
-_REMEMBERED = 1_000_000
+# Words a task remembers before it starts anew, which bounds its memory.
+_REMEMBERED = 250_000
 
 
 def split_points(chars: np.ndarray, ends: np.ndarray) -> np.ndarray:
@@ -224,7 +226,9 @@ def pieces(docs: DataFrame, path: str | None = None, capacity: int = CAPACITY, w
 
     A null text counts as empty and yields one piece that holds only id 0.
     """
-    texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
+    texts = small_batches(docs).select(
+        F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text")
+    )
     schema = "doc_id long, piece int, start long, length long, ids_crc32 long"
     return texts.mapInArrow(
         _pieces(path, capacity, with_ids), schema + (", ids array<int>" if with_ids else "")

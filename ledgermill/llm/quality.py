@@ -15,7 +15,7 @@ import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ledgermill.llm.frames import held_out
+from ledgermill.llm.frames import held_out, small_batches
 
 #: Labelled texts per class from which the dictionaries are trained, and on which the curve is fitted.
 TRAINED, FITTED = 3000, 3000
@@ -137,7 +137,7 @@ def accepted(docs: DataFrame, labels: DataFrame) -> DataFrame:
         for batch in batches:
             yield batch.filter(pa.array(_values(batch.column("text"), model) >= 0.5))
 
-    return docs.mapInArrow(run, docs.schema)
+    return small_batches(docs).mapInArrow(run, docs.schema)
 
 
 def score(docs: DataFrame, labels: DataFrame) -> DataFrame:
@@ -164,4 +164,4 @@ def score(docs: DataFrame, labels: DataFrame) -> DataFrame:
                 names=["doc_id", "held_out", "score", "predicted"],
             )
 
-    return rows.mapInArrow(run, _COLUMNS)
+    return small_batches(rows).mapInArrow(run, _COLUMNS)
