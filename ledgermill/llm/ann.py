@@ -14,7 +14,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from ledgermill.llm.frames import cut
+from ledgermill.llm.frames import cut, small_batches
 
 #: Hash tables, and buckets of each that a query looks into. Recall at 5 on 64 unclustered dimensions is
 #: above 0.95; the share of rows that is ranked does not depend on their number.
@@ -173,7 +173,7 @@ def search(
     compared. Every block of vectors meets every block of queries, so no bucket, however full, becomes
     one task; within a block the tables pick the candidates.
     """
-    spark = vectors.sparkSession
+    spark = small_batches(vectors).sparkSession
 
     def once(df: DataFrame) -> DataFrame:
         return usable(df).groupBy("vec_id").agg(F.min("embedding").alias("embedding"))
