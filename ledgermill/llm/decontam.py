@@ -1,16 +1,19 @@
 """Benchmark decontamination by canonical templates.
 
 Numbers, units after numbers, and names inside a sentence become typed placeholders; what is left is
-lower-cased and stripped of punctuation. Windows of eight template words are joined by hash.
-Matching windows of one document and item that lie on one alignment must agree on their slots: the item's values
-and the document's must map one to one. So a re-parameterised question is caught, while text that only
-shares the shape of one is not. A document is contaminated by an item if consistent windows cover at
-least half of the item's.
+lower-cased and stripped of punctuation. Windows of eight template words are joined by hash. Where a window holds a
+capitalised word that begins a sentence, it is also joined with that word as a name, and all windows are also
+joined as they are, lower-cased and with their values, so a copy in other case is found.
+In a matching window the item's slots and the document's must map one to one; names must do so over all windows of one
+document and item that lie on one alignment, and windows with a name that does not are left out. So a
+re-parameterised question is caught, while text that only shares the shape of one is not. A document is
+contaminated by an item if consistent windows cover at least half of the item's.
 """
 
 from __future__ import annotations
 
 from collections.abc import Iterator
+from typing import NamedTuple
 
 import numpy as np
 import pyarrow as pa
@@ -44,7 +47,9 @@ _LOWERED[65:91] = _LOWERED[97:123]
 _STOP = np.zeros(256, bool)
 _STOP[[ord(c) for c in ".!?:"]] = True
 
-_NUMBER, _UNIT, _NAME = (np.uint64(x) for x in K.salt(67)[64:67])
+_NUMBER, _UNIT, _NAME, _EXACT = (np.uint64(x) for x in K.salt(68)[64:68])
+#: Lowest two bits of a slot value by its kind; those of a literal are 0.
+NUMBER_KIND, UNIT_KIND, NAME_KIND = 1, 2, 3
 
 
 def _hash_words(words: list[str]) -> np.ndarray:
@@ -56,8 +61,19 @@ def _hash_words(words: list[str]) -> np.ndarray:
 _UNIT_HASHES = np.sort(_hash_words(_UNITS))
 
 
-def templates(texts: pa.Array) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
-    """Template hash, slot value (0 for a literal), text number and literal flag of every word."""
+class Words(NamedTuple):
+    """Every word of some texts: template hash, slot value (0 for a literal), the same two with capitalised words that
+    begin a sentence as names, lower-cased hash and text number."""
+
+    hashes: np.ndarray
+    slots: np.ndarray
+    named_hashes: np.ndarray
+    named_slots: np.ndarray
+    values: np.ndarray
+    owner: np.ndarray
+
+
+def templates(texts: pa.Array) -> Words:
     data, offsets = K.text_buffers(texts)
     # The capitals of Latin-1 end in 0x80 to 0x9E in UTF-8, their small letters 0x20 higher.
     capital = (data[1:] >= 0x80) & (data[1:] <= 0x9E) & (data[1:] != 0x97) & (data[:-1] == 0xC3)
@@ -66,7 +82,7 @@ def templates(texts: pa.Array) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.n
     starts, ends, owner = K.words(data, offsets)
     if not len(starts):
         none = np.zeros(0, np.uint64)
-        return none, none, owner, np.zeros(0, bool)
+        return Words(none, none, none, none, none, owner)
     # Trim punctuation at both ends by the nearest inner byte.
     inner = _INNER[data]
     at = np.arange(len(data))
@@ -87,46 +103,57 @@ def templates(texts: pa.Array) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.n
     unit = np.isin(value, _UNIT_HASHES) & ~number
     unit[1:] &= number[:-1] & (owner[1:] == owner[:-1])
     unit[:1] = False
-    name = _UPPER[data[starts]] & (upper[ends] - upper[starts] == 1) & (ends - starts > 1) & ~fresh & ~number & ~unit
-    hashes = value.copy()
-    hashes[number], hashes[unit], hashes[name] = _NUMBER, _UNIT, _NAME
-    slot = np.where(number | unit | name, value | np.uint64(1), np.uint64(0))
-    return hashes, slot, owner, ~(number | unit | name)
+    capital = _UPPER[data[starts]] & (upper[ends] - upper[starts] == 1) & (ends - starts > 1) & ~number & ~unit
+
+    def with_names(name: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        hashes, kind = value.copy(), np.zeros(len(value), np.uint64)
+        for which, said, k in ((number, _NUMBER, NUMBER_KIND), (unit, _UNIT, UNIT_KIND), (name, _NAME, NAME_KIND)):
+            hashes[which], kind[which] = said, k
+        return hashes, np.where(kind > 0, value & ~np.uint64(3) | kind, np.uint64(0))
+
+    return Words(*with_names(capital & ~fresh), *with_names(capital), value, owner)
+
 
+_NONE = np.zeros(0, np.uint64)
 
-def _windows(hashes, literal, first: int, until: int, size: int) -> tuple[np.ndarray, np.ndarray]:
-    """Hash of each window of one text and whether it has enough literal words."""
-    total = np.concatenate(([0], np.cumsum(literal[first:until])))
-    enough = total[size:] - total[:-size] >= min(LITERAL, size) if until - first >= size else np.zeros(0, bool)
-    return K.windows(hashes[first:until], size), enough
+
+def _enough(slots: np.ndarray, size: int) -> np.ndarray:
+    """Whether each window of one text has enough literal words."""
+    total = np.concatenate(([0], np.cumsum(slots == 0)))
+    return total[size:] - total[:-size] >= min(LITERAL, size)
 
 
 _WINDOW_ROW = "at int, hash long, slots array<long>"
+_ITEM_ROW = "item_id long, size int, windows int, solid int, is_solid boolean, exact boolean"
 
 
 def _item_windows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    names = ["item_id", "size", "windows", "solid", "is_solid", "exact"]
+    kinds = [pa.int64(), pa.int32(), pa.int32(), pa.int32(), pa.bool_(), pa.bool_()]
     for batch in batches:
         for part in K.chunks(batch, "text"):
-            hashes, slots, owner, literal = templates(part.column("text"))
-            edge = np.searchsorted(owner, np.arange(len(part) + 1))
-            out: dict[str, list] = {k: [] for k in ("item_id", "size", "windows", "at", "hash", "slots")}
+            words = templates(part.column("text"))
+            edge = np.searchsorted(words.owner, np.arange(len(part) + 1))
+            out: dict[str, list] = {k: [] for k in (*names, "at", "hash", "slots")}
             for k, item in enumerate(part.column("item_id").to_pylist()):
-                a, b = int(edge[k]), int(edge[k + 1])
-                size = min(WINDOW, b - a)
+                w = Words(*(x[edge[k] : edge[k + 1]] for x in words))
+                size = min(WINDOW, len(w.owner))
                 if size < SHORTEST:
                     continue
-                found, enough = _windows(hashes, literal, a, b, size)
-                for at in np.flatnonzero(enough):
-                    out["item_id"].append(item)
-                    out["size"].append(size)
-                    out["windows"].append(int(enough.sum()))
-                    out["at"].append(int(at))
-                    out["hash"].append(int(found[at].view(np.int64)))
-                    out["slots"].append(slots[a + at : a + at + size].view(np.int64))
-            yield _window_batch(
-                [pa.array(out["item_id"], pa.int64()), pa.array(out["size"], pa.int32()), pa.array(out["windows"], pa.int32())],
-                ["item_id", "size", "windows"], out,
-            )
+                solid, named_solid = _enough(w.slots, size), _enough(w.named_slots, size)
+                usual, named = K.windows(w.hashes, size), K.windows(w.named_hashes, size)
+                exact = K.windows(w.values, size) ^ _EXACT
+                for found, which, slots in (
+                    (usual, solid, w.slots), (named, named_solid & (named != usual), w.named_slots), (exact, solid, None)
+                ):
+                    for at in np.flatnonzero(which):
+                        row = (item, size, int(solid.sum()), int(solid.sum()), bool(solid[at]), slots is None)
+                        for name, value in zip(names, row):
+                            out[name].append(value)
+                        out["at"].append(int(at))
+                        out["hash"].append(int(found[at].view(np.int64)))
+                        out["slots"].append((_NONE if slots is None else slots[at : at + size]).view(np.int64))
+            yield _window_batch([pa.array(out[n], k) for n, k in zip(names, kinds)], names, out)
 
 
 def _window_batch(columns: list, names: list[str], out: dict) -> pa.RecordBatch:
@@ -140,18 +167,32 @@ def _doc_windows(bits: np.ndarray, sizes: list[int]):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for part in K.chunks(batch, "text"):
-                hashes, slots, owner, _ = templates(part.column("text"))
+                words = templates(part.column("text"))
+                owner = words.owner
                 keys = part.column("key").to_numpy(zero_copy_only=False)
                 out: dict[str, list] = {k: [] for k in ("key", "at", "hash", "slots")}
                 first = np.searchsorted(owner, np.arange(len(part)))
                 for size in sizes:
-                    found = K.windows(hashes, size)
-                    inside = owner[: len(found)] == owner[size - 1 :] if len(found) else np.zeros(0, bool)
-                    for w in np.flatnonzero(inside & K.may_contain(bits, found)):
-                        out["key"].append(int(keys[owner[w]]))
-                        out["at"].append(int(w - first[owner[w]]))
-                        out["hash"].append(int(found[w].view(np.int64)))
-                        out["slots"].append(slots[w : w + size].view(np.int64))
+                    usual, named = K.windows(words.hashes, size), K.windows(words.named_hashes, size)
+                    inside = owner[: len(usual)] == owner[size - 1 :] if len(usual) else np.zeros(0, bool)
+                    for found, which, slots in (
+                        (usual, inside, words.slots), (named, inside & (named != usual), words.named_slots)
+                    ):
+                        for w in np.flatnonzero(which & K.may_contain(bits, found)):
+                            out["key"].append(int(keys[owner[w]]))
+                            out["at"].append(int(w - first[owner[w]]))
+                            out["hash"].append(int(found[w].view(np.int64)))
+                            out["slots"].append(slots[w : w + size].view(np.int64))
+                    # Without slots there is no alignment to keep: once a text is enough.
+                    exact = K.windows(words.values, size) ^ _EXACT
+                    for o, h in set(
+                        (int(owner[w]), int(exact[w].view(np.int64)))
+                        for w in np.flatnonzero(inside & K.may_contain(bits, exact))
+                    ):
+                        out["key"].append(int(keys[o]))
+                        out["at"].append(0)
+                        out["hash"].append(h)
+                        out["slots"].append(_NONE.view(np.int64))
                 yield _window_batch([pa.array(out["key"], pa.int64())], ["key"], out)
 
     return run
@@ -168,7 +209,7 @@ def contaminated(docs: DataFrame, benchmark: DataFrame, key: str = "doc_id", cov
         benchmark.filter("item_id is not null")
         .select(F.col("item_id").cast("long").alias("item_id"), F.col("text").cast("string").alias("text"))
         .distinct()
-        .mapInArrow(_item_windows, f"item_id long, size int, windows int, {_WINDOW_ROW}")
+        .mapInArrow(_item_windows, f"{_ITEM_ROW}, {_WINDOW_ROW}")
     )
     # A bitmap of fixed size keeps windows that no item has out of the join; the join is exact.
     bits = bitmap_of(items.select("hash"))
@@ -177,31 +218,50 @@ def contaminated(docs: DataFrame, benchmark: DataFrame, key: str = "doc_id", cov
     found = texts.filter("key is not null and text is not null").mapInArrow(
         _doc_windows(bits, sizes), f"key long, {_WINDOW_ROW}"
     )
+    item = ["item_id", "windows", "solid"]
     named = items.select(
-        "item_id", "windows", F.col("at").alias("item_at"), F.col("hash").alias("item_hash"),
+        *item, "is_solid", "exact", F.col("at").alias("item_at"), F.col("hash").alias("item_hash"),
         F.col("slots").alias("item_slots"),
     )
+    place = F.struct(F.col("item_at").alias("at"), "is_solid").alias("place")
     met = found.join(named, F.col("hash") == F.col("item_hash"))
-    # The alignments of one document and item hold no more values than the item has words.
-    pairs = F.filter(
+    as_they_are = met.filter("exact").select("key", *item, place)
+    pairs = F.array_distinct(F.filter(
         F.zip_with("item_slots", "slots", lambda a, b: F.struct(a.alias("a"), b.alias("b"))), lambda p: p["a"] != 0
+    ))
+    one_to_one = (
+        (F.size(F.array_distinct(F.col("pairs")["a"])) == F.size("pairs"))
+        & (F.size(F.array_distinct(F.col("pairs")["b"])) == F.size("pairs"))
     )
+    is_name = lambda p: p["a"].bitwiseAND(F.lit(NAME_KIND)) == NAME_KIND
+    # The alignments of one document and item hold no more windows than the item has, and their names. Names are
+    # gathered before windows that contradict themselves go, as these speak against a name too.
     aligned = (
-        met.withColumn("shift", F.col("at") - F.col("item_at"))
-        .groupBy("key", "item_id", "windows", "shift")
+        met.filter("not exact").withColumn("shift", F.col("at") - F.col("item_at")).withColumn("pairs", pairs)
+        .withColumn("holds", one_to_one)
+        .groupBy("key", *item, "shift")
         .agg(
-            F.collect_set("item_at").alias("places"),
-            F.array_distinct(F.flatten(F.collect_set(pairs))).alias("values"),
+            F.collect_set(F.struct(place, "holds", "pairs")).alias("met"),
+            F.array_distinct(F.flatten(F.collect_set(F.filter("pairs", is_name)))).alias("names"),
         )
+        .withColumn("wrong", F.filter("names", lambda n: F.exists(
+            "names",
+            lambda m: ((m["a"] == n["a"]) & (m["b"] != n["b"])) | ((m["b"] == n["b"]) & (m["a"] != n["a"])),
+        )))
+        .select("key", *item, "wrong", F.explode("met").alias("met"))
+        .filter(F.col("met.holds") & ~F.arrays_overlap("met.pairs", "wrong"))
+        .select("key", *item, "met.place")
     )
-    one_to_one = (
-        (F.size(F.array_distinct(F.col("values")["a"])) == F.size("values"))
-        & (F.size(F.array_distinct(F.col("values")["b"])) == F.size("values"))
-    )
+    # Windows of few literal words match as they are only, so coverage is that of the others if it is more.
+    of_solid = F.coalesce(F.col("matched_solid") / F.nullif("solid", F.lit(0)) >= F.col("matched") / F.col("windows"), F.lit(False))
     return (
-        aligned.filter(one_to_one)
-        .select("key", "item_id", "windows", F.explode("places").alias("place")).distinct()
-        .groupBy("key", "item_id", "windows").agg(F.count(F.lit(1)).alias("matched"))
+        aligned.unionByName(as_they_are).distinct()
+        .groupBy("key", *item)
+        .agg(F.count(F.lit(1)).alias("matched"), F.count_if("place.is_solid").alias("matched_solid"))
+        .select(
+            "key", "item_id", F.when(of_solid, F.col("solid")).otherwise(F.col("windows")).alias("windows"),
+            F.when(of_solid, F.col("matched_solid")).otherwise(F.col("matched")).alias("matched"),
+        )
         .withColumn("coverage", F.col("matched") / F.col("windows"))
         .filter(F.col("coverage") >= covered)
         .withColumnRenamed("key", key)

@@ -445,6 +445,22 @@ def test_decontamination_catches_new_parameters_only_if_consistent(spark):
     assert decontam.contaminated(docs, items.limit(0)).collect() == []
 
 
+def _contaminated(spark, texts, item):
+    items = spark.createDataFrame([(1, item)], "item_id long, text string")
+    return {r.doc_id: r.coverage for r in decontam.contaminated(documents(spark, list(enumerate(texts))), items).collect()}
+
+
+def test_decontamination_leaves_out_only_windows_that_contradict(spark):
+    said = "{} buys {} red apples at the old market near the river bank and then walks for {} days until {} reaches the small town behind the hills"
+    item = said.format("Tom", 3, 3, "Tom")
+    got = _contaminated(spark, [
+        said.format("Tom", 4, 2, "Tom"),  # one value became two
+        said.format("Tom", 4, 2, "Tom").replace("Tom", "Ann"), item.upper(), item.lower(),
+        said.format("Ann", 3, 3, "Ann"),  # the first at the start of the sentence
+    ], item)
+    assert got == {k: 1.0 for k in range(5)}
+
+
 @pytest.fixture(scope="module")
 def secret_rows():
     hexa = hashlib.sha1(b"k").hexdigest()
