@@ -23,8 +23,8 @@ from pyspark.sql import functions as F
 from ledgermill.llm import kernels as K
 from ledgermill.llm.frames import bitmap_of, cut, small_batches
 
-#: Words of a window; of a shorter item all its words are one window. At least LITERAL of a window's words
-#: are no placeholders, and items of fewer than SHORTEST words are never matched.
+#: Words of a window; of a shorter item all its words are one window. Windows with fewer than LITERAL words that
+#: are no placeholders, and items of fewer than SHORTEST words, are matched as they are only, with their values.
 WINDOW, LITERAL, SHORTEST = 8, 3, 5
 #: Share of an item's windows that a contaminated document covers.
 COVERED = 0.5
@@ -138,16 +138,16 @@ def _item_windows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]
             for k, item in enumerate(part.column("item_id").to_pylist()):
                 w = Words(*(x[edge[k] : edge[k + 1]] for x in words))
                 size = min(WINDOW, len(w.owner))
-                if size < SHORTEST:
+                if not size:
                     continue
-                solid, named_solid = _enough(w.slots, size), _enough(w.named_slots, size)
+                solid, named_solid = (_enough(x, size) & (size >= SHORTEST) for x in (w.slots, w.named_slots))
                 usual, named = K.windows(w.hashes, size), K.windows(w.named_hashes, size)
                 exact = K.windows(w.values, size) ^ _EXACT
                 for found, which, slots in (
-                    (usual, solid, w.slots), (named, named_solid & (named != usual), w.named_slots), (exact, solid, None)
+                    (usual, solid, w.slots), (named, named_solid & (named != usual), w.named_slots), (exact, np.ones(len(exact), bool), None)
                 ):
                     for at in np.flatnonzero(which):
-                        row = (item, size, int(solid.sum()), int(solid.sum()), bool(solid[at]), slots is None)
+                        row = (item, size, len(exact), int(solid.sum()), bool(solid[at]), slots is None)
                         for name, value in zip(names, row):
                             out[name].append(value)
                         out["at"].append(int(at))
@@ -202,7 +202,7 @@ def contaminated(docs: DataFrame, benchmark: DataFrame, key: str = "doc_id", cov
     """One row per document and item that contaminates it: key, item_id, windows, matched and coverage.
 
     ``key`` is a whole number that names the document; rows that share it count as one document, and rows where it
-    is null are not looked at. Null or empty texts, items without enough literal words, repeated rows and empty
+    is null are not looked at. Null or empty texts, items without a letter or digit, repeated rows and empty
     tables give no rows of their own. Extra columns are not read.
     """
     items = cut(

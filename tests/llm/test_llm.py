@@ -461,6 +461,14 @@ def test_decontamination_leaves_out_only_windows_that_contradict(spark):
     assert got == {k: 1.0 for k in range(5)}
 
 
+def test_decontamination_finds_copies_of_short_and_numeric_items(spark):
+    items = ["Compute 12 + 34 * 56 - 7", "What is DNA?", "Solve " + " ".join(map(str, range(1, 30))), "Rome", "7 kg 9 lb Anna Bert 5 cm"]
+    docs = [f"Some text before. {x} And some after." for x in items] + ["Compute 12 + 34 * 56 - 8", "What was DNA?", "Solve 2 4 6 8 10 12 14 16 18", "Romeo", ""]
+    table = spark.createDataFrame(list(enumerate(items)) + [(90, "?!"), (91, "")], "item_id long, text string")
+    got = decontam.contaminated(documents(spark, list(enumerate(docs))), table).collect()
+    assert {(r.doc_id, r.item_id, r.coverage) for r in got} == {(k, k, 1.0) for k in range(len(items))}
+
+
 @pytest.fixture(scope="module")
 def secret_rows():
     hexa = hashlib.sha1(b"k").hexdigest()
