@@ -30,8 +30,9 @@ def good_quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame
 def without_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Keeps one document of each group of near copies, that with the smallest doc_id."""
     row = "_row_of_pipeline"
-    numbered = docs.withColumn(row, F.monotonically_increasing_id())
-    ids = cut(numbered.select(row, "doc_id"))
+    # Written once, so that the row numbers hold in every job, also after an executor is lost.
+    numbered = cut(docs.withColumn(row, F.monotonically_increasing_id()))
+    ids = numbered.select(row, "doc_id")
     groups = jaccard.near_duplicates(numbered.select(F.col(row).alias("doc_id"), "text"))
     kept = (
         groups.select(F.col("doc_id").alias(row), F.col("component_id").alias("component")).join(ids, row)

@@ -271,10 +271,9 @@ def contaminated(docs: DataFrame, benchmark: DataFrame, key: str = "doc_id", cov
 def keep_clean(docs: DataFrame, benchmark: DataFrame, covered: float = COVERED) -> DataFrame:
     """The documents that no item contaminates, with all their columns.
 
-    ``docs`` is read more than once and must be a stored table, as its rows are told apart by their place.
-    Rows with a null text or doc_id are kept or judged like any others.
+    Rows are numbered once and written with their numbers, so that they hold when executors are lost. Rows with a null text or doc_id are kept or judged like any others.
     """
     row = "_row_of_decontamination"
-    numbered = docs.withColumn(row, F.monotonically_increasing_id())
+    numbered = cut(docs.withColumn(row, F.monotonically_increasing_id()))
     bad = contaminated(numbered.select(row, "text"), benchmark, row, covered).select(row).distinct()
     return numbered.join(bad, row, "left_anti").drop(row)

@@ -48,6 +48,29 @@ def test_stages_keep_what_they_should(spark):
     assert first.count() > docs.count() > 0
 
 
+@pytest.mark.parametrize("name", ["n-gram Jaccard join", "benchmark decontamination"])
+def test_rows_hold_when_files_are_packed_otherwise(spark, monkeypatch, name):
+    """Between two jobs of a stage the files go to other partitions, as when executors are lost."""
+    key, few = "spark.sql.files.maxPartitionBytes", spark.conf.get("spark.sql.files.maxPartitionBytes")
+    leak = spark.read.parquet(f"{SF}/benchmark.parquet").first().text
+    rows = [(k, leak if k % 7 == 3 else f"document {k} of its own words {k * k} and {k + 5}", "en", "s", 1) for k in range(64)]
+    docs = frames.cut(spark.createDataFrame(rows, "doc_id long, text string, lang string, source string, n_chars long").repartition(16))
+    module, inner = (corpus_pipeline.jaccard, "near_duplicates") if "Jaccard" in name else (corpus_pipeline.decontam, "contaminated")
+    found = getattr(module, inner)
+
+    def then_packed_otherwise(*args, **kwargs):
+        out = frames.cut(found(*args, **kwargs))
+        spark.conf.set(key, "1m")
+        return out
+
+    monkeypatch.setattr(module, inner, then_packed_otherwise)
+    try:
+        kept = {r.doc_id for r in dict(corpus_pipeline.STAGES)[name](spark, docs, SF).collect()}
+    finally:
+        spark.conf.set(key, few)
+    assert kept == {k for k in range(64) if k % 7 != 3} | ({3} if "Jaccard" in name else set())
+
+
 def test_empty_table_passes_through(spark):
     docs = frames.cut(spark.read.parquet(f"{SF}/documents.parquet").limit(0))
     for _, stage in corpus_pipeline.STAGES:
