@@ -7,7 +7,9 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ledgermill.llm import ann, chat, decontam, jaccard, langid, packing, quality, secret_scan, url_rules, warc
+from ledgermill.llm import (
+    ann, chat, decontam, jaccard, langid, lexical, packing, quality, secret_scan, token_count, url_rules, vector_codes, warc,
+)
 from ledgermill.session import fresh_path
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -151,3 +153,97 @@ def op8_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def op1_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontam.contaminated(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
+@query
+def op11_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return token_count.count_tokens(table(spark, sf_dir, "documents"))
+
+
+@query
+def op12_vector_codes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return vector_codes.compress(table(spark, sf_dir, "embeddings"))
+
+
+def _codes_sql(rounds: int) -> str:
+    """The rounds one after another; every step is written out because each reads the one before."""
+    steps = ["""
+with v as materialized (
+  select vec_id, label, list_transform(embedding, lambda x: cast(floor(4096 * cast(x as double)) as bigint)) as vec
+  from embeddings
+  where embedding is not null and len(list_filter(embedding, lambda x: x is null or not isfinite(x))) = 0
+), c as materialized (
+  select vec_id, label, p as part, i as place, vec[p * (len(vec) // 8) + i + 1] as x
+  from v, range(8) t(p), range(len(vec) // 8) s(i)
+), first as (
+  select vec_id, row_number() over (order by vec_id) - 1 as entry from v order by vec_id limit 16
+), b0 as materialized (
+  select part, entry, place, x from c join first using (vec_id)
+)"""]
+    for r in range(rounds + 1):
+        steps.append(f""", d{r} as (
+  select c.vec_id, part, entry, cast(sum((c.x - b{r}.x) * (c.x - b{r}.x)) as bigint) as dist
+  from c join b{r} using (part, place) group by c.vec_id, part, entry
+), a{r} as materialized (
+  select vec_id, part, arg_min(entry, (dist, entry)) as entry, min(dist) as dist from d{r} group by vec_id, part
+)""")
+        if r < rounds:
+            steps.append(f""", m{r} as (
+  select part, entry, place, sum(c.x) as total, count(*) as n
+  from c join a{r} using (vec_id, part) group by part, entry, place
+), b{r + 1} as materialized (
+  select part, entry, place,
+    case when n is null then b{r}.x else cast((total - ((total % n) + n) % n) // n as bigint) end as x
+  from b{r} left join m{r} using (part, entry, place)
+)""")
+    return "".join(steps) + f""", books as (
+  select sha256(string_agg(cast(x as varchar), ',' order by part, entry, place)) as codebooks_sha256 from b{rounds}
+), coded as (
+  select vec_id, string_agg(format('{{:02x}}', entry), '' order by part) as code, cast(sum(dist) as bigint) as error
+  from a{rounds} group by vec_id
+)
+select vec_id, code, error, cast(sum(error) over (partition by label) as bigint) as label_error, codebooks_sha256
+from coded join v using (vec_id), books
+"""
+
+
+ORACLES["op12_vector_codes"] = _codes_sql(vector_codes.ROUNDS)
+
+
+@query
+def op13_lexical_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return lexical.search(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
+ORACLES["op13_lexical_search"] = r"""
+with words as (
+  select doc_id, unnest(regexp_extract_all(
+    translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+    '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+')) as term
+  from documents
+), asked as (
+  select distinct item_id, term from (
+    select item_id, unnest(regexp_extract_all(
+      translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+      '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+')) as term
+    from benchmark)
+), tf as (
+  select doc_id, term, count(*) as tf from words group by doc_id, term
+), lengths as (
+  select doc_id, count(*) as n from words group by doc_id
+), whole as (
+  select count(*) as docs, cast(sum(n) as bigint) as total from lengths
+), w as (
+  select term, cast(floor(1000 * ln(cast(2 * any_value(docs) + 2 as double) / cast(2 * count(*) + 1 as double))) as bigint) as w
+  from tf, whole group by term
+), m as (
+  select doc_id, 100 - 50 + ((50 * n * docs) // total) as m from lengths, whole
+), scored as (
+  select item_id, doc_id, cast(sum(w * ((1000000000 * tf) // (1000 * tf + 20 * m))) as bigint) as score
+  from asked join tf using (term) join w using (term) join m using (doc_id) group by item_id, doc_id
+), ranked as (
+  select item_id, row_number() over (partition by item_id order by score desc, doc_id) as rank, doc_id, score
+  from scored where score > 0
+)
+select item_id, cast(rank as int) as rank, doc_id, score from ranked where rank <= 50
+"""
