@@ -60,7 +60,7 @@ if __name__ == "__main__":
     from ledgermill.session import build_session
 
     sf = sys.argv[1] if len(sys.argv) > 1 else "/root/testdata/sf0.001"
-    spark = build_session("local[8]", **{"spark.sql.shuffle.partitions": "8", "spark.driver.memory": "8g"})
+    spark = build_session("local[8]", **{"spark.sql.shuffle.partitions": "8", "spark.driver.memory": "8g", "spark.ui.enabled": "false"})
     spark.sparkContext.setLogLevel("ERROR")
     connection, sqls, failed = connect(sf), oracle_sql(), []
     todo = sys.argv[2:] or list(queries())
