@@ -7,7 +7,8 @@ joined as they are, lower-cased and with their values, so a copy in other case i
 In a matching window the item's slots and the document's must map one to one; names must do so over all windows of one
 document and item that lie on one alignment, and windows with a name that does not are left out. So a
 re-parameterised question is caught, while text that only shares the shape of one is not. A document is
-contaminated by an item if consistent windows cover at least half of the item's.
+contaminated by an item if consistent windows cover at least half of the item's. An item of fewer than five words
+counts only where it is a whole sentence, line or text, since such words stand together in much clean text.
 """
 
 from __future__ import annotations
@@ -24,7 +25,8 @@ from ledgermill.llm import kernels as K
 from ledgermill.llm.frames import bitmap_of, cut, small_batches
 
 #: Words of a window; of a shorter item all its words are one window. Windows with fewer than LITERAL words that
-#: are no placeholders, and items of fewer than SHORTEST words, are matched as they are only, with their values.
+#: are no placeholders are matched as they are only, with their values, and items of fewer than SHORTEST words too,
+#: as whole sentences.
 WINDOW, LITERAL, SHORTEST = 8, 3, 5
 #: Share of an item's windows that a contaminated document covers.
 COVERED = 0.5
@@ -63,7 +65,7 @@ _UNIT_HASHES = np.sort(_hash_words(_UNITS))
 
 class Words(NamedTuple):
     """Every word of some texts: template hash, slot value (0 for a literal), the same two with capitalised words that
-    begin a sentence as names, lower-cased hash and text number."""
+    begin a sentence as names, lower-cased hash, text number, and whether the word begins a sentence, line or text."""
 
     hashes: np.ndarray
     slots: np.ndarray
@@ -71,18 +73,21 @@ class Words(NamedTuple):
     named_slots: np.ndarray
     values: np.ndarray
     owner: np.ndarray
+    fresh: np.ndarray
 
 
 def templates(texts: pa.Array) -> Words:
     data, offsets = K.text_buffers(texts)
     # The capitals of Latin-1 end in 0x80 to 0x9E in UTF-8, their small letters 0x20 higher.
     capital = (data[1:] >= 0x80) & (data[1:] <= 0x9E) & (data[1:] != 0x97) & (data[:-1] == 0xC3)
+    upper = _UPPER[data]
+    upper[1:] |= capital
     data = data.copy()
     data[1:][capital] += 0x20
     starts, ends, owner = K.words(data, offsets)
     if not len(starts):
         none = np.zeros(0, np.uint64)
-        return Words(none, none, none, none, none, owner)
+        return Words(none, none, none, none, none, owner, np.zeros(0, bool))
     # Trim punctuation at both ends by the nearest inner byte.
     inner = _INNER[data]
     at = np.arange(len(data))
@@ -95,15 +100,20 @@ def templates(texts: pa.Array) -> Words:
     breaks = np.concatenate(([0], np.cumsum(data == 10)))
     fresh = np.ones(len(starts), bool)
     fresh[1:] = (owner[1:] != owner[:-1]) | stops[:-1] | (breaks[starts[1:]] > breaks[ends[:-1]])
-    starts, ends, owner, fresh = first[kept], last[kept], owner[kept], fresh[kept]
+    # What punctuation alone began still begins with the word after it.
+    begun = np.cumsum(fresh)[kept]
+    fresh = np.diff(begun, prepend=0) > 0
+    starts, ends, owner = first[kept], last[kept], owner[kept]
     digits = np.concatenate(([0], np.cumsum(_DIGIT[data])))
-    upper = np.concatenate(([0], np.cumsum(_UPPER[data])))
+    first_upper = upper[starts] | ((data[starts] == 0xC3) & upper[np.minimum(starts + 1, len(data) - 1)])
+    small = np.concatenate(([0], np.cumsum(_INNER[data] & ~_DIGIT[data] & ~upper & (data < 0x80))))
     value = K.run_hashes(data, starts, ends, _LOWERED)
     number = digits[ends] > digits[starts]
     unit = np.isin(value, _UNIT_HASHES) & ~number
     unit[1:] &= number[:-1] & (owner[1:] == owner[:-1])
     unit[:1] = False
-    capital = _UPPER[data[starts]] & (upper[ends] - upper[starts] == 1) & (ends - starts > 1) & ~number & ~unit
+    # A capital with small letters after it, so also McDonald and Élise, but no words all in capitals.
+    capital = first_upper & (small[ends] > small[starts]) & (ends - starts > 1) & ~number & ~unit
 
     def with_names(name: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         hashes, kind = value.copy(), np.zeros(len(value), np.uint64)
@@ -111,7 +121,19 @@ def templates(texts: pa.Array) -> Words:
             hashes[which], kind[which] = said, k
         return hashes, np.where(kind > 0, value & ~np.uint64(3) | kind, np.uint64(0))
 
-    return Words(*with_names(capital & ~fresh), *with_names(capital), value, owner)
+    return Words(*with_names(capital & ~fresh), *with_names(capital), value, owner, fresh)
+
+
+def _whole(words: Words, size: int) -> np.ndarray:
+    """Whether each window of ``size`` words, within one text, is a whole sentence or line."""
+    fresh = np.append(words.fresh, True)
+    edge = np.append(words.owner[1:] != words.owner[:-1], True) if len(words.owner) else np.zeros(0, bool)
+    ends = fresh[1:] | edge
+    inner = np.concatenate(([0], np.cumsum(words.fresh)))
+    n = len(words.owner) - size + 1
+    if n <= 0:
+        return np.zeros(0, bool)
+    return words.fresh[:n] & ends[size - 1 :] & (inner[size:] - inner[:n] == 1)
 
 
 _NONE = np.zeros(0, np.uint64)
@@ -185,9 +207,10 @@ def _doc_windows(bits: np.ndarray, sizes: list[int]):
                             out["slots"].append(slots[w : w + size].view(np.int64))
                     # Without slots there is no alignment to keep: once a text is enough.
                     exact = K.windows(words.values, size) ^ _EXACT
+                    fits = inside & _whole(words, size) if size < SHORTEST else inside
                     for o, h in set(
                         (int(owner[w]), int(exact[w].view(np.int64)))
-                        for w in np.flatnonzero(inside & K.may_contain(bits, exact))
+                        for w in np.flatnonzero(fits & K.may_contain(bits, exact))
                     ):
                         out["key"].append(int(keys[o]))
                         out["at"].append(0)

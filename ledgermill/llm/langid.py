@@ -15,16 +15,17 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ledgermill.llm import kernels as K
 from ledgermill.llm.frames import held_out, small_batches
 
-#: Texts per language that are learned from, those of them that are landmarks, and bytes read of each.
-LEARNED, LANDMARKS, LEARNED_BYTES = 200, 40, 1024
-#: Bytes of a piece, the same as what is read of a learned text.
-PIECE = LEARNED_BYTES
+#: Pieces per language that are learned from, and those of them that are landmarks. They are picked from all pieces of
+#: about SOURCES texts per language, whole texts whatever their length.
+LEARNED, LANDMARKS, SOURCES = 200, 40, 400
+#: Bytes of a piece, of learned texts and of texts that are identified.
+PIECE = 1024
 ORDERS = (1, 2, 3)
 RIDGE = 1e-2
 UNKNOWN = "und"
@@ -183,7 +184,8 @@ def _predict(model: Model):
 def learn(docs: DataFrame) -> Model:
     """Model from documents with a language that are not held out.
 
-    A fixed hash of the id picks at most LEARNED rows per language; the counts behind it cover the table.
+    A fixed hash of the id picks about SOURCES rows per language, one of the id and the place LEARNED of their pieces;
+    the counts behind it cover the table.
     """
     known = docs.select(
         F.col("doc_id").cast("long").alias("doc_id"), F.col("lang").cast("string").alias("lang"),
@@ -192,16 +194,18 @@ def learn(docs: DataFrame) -> Model:
     counts = {r["lang"]: r["count"] for r in known.groupBy("lang").count().collect()}
     if not counts:
         return fit([], [])
-    # About twice as many as are kept, so that the driver sees a bounded sample of each language.
-    share = F.create_map(*[F.lit(x) for k, n in sorted(counts.items()) for x in (k, 2.0 * LEARNED / n)])
-    order = F.xxhash64("doc_id", F.lit(6))
-    ticket = F.pmod(order, F.lit(1 << 30)) / float(1 << 30)
-    rows = (
-        known.filter(ticket < share[F.col("lang")])
-        .select("lang", order.alias("order"), F.substring("text", 1, LEARNED_BYTES).alias("text")).toPandas()
-        .sort_values(["lang", "order", "text"]).groupby("lang", sort=True).head(LEARNED)
+    share = F.create_map(*[F.lit(x) for k, n in sorted(counts.items()) for x in (k, 1.0 * SOURCES / n)])
+    ticket = F.pmod(F.xxhash64("doc_id", F.lit(6)), F.lit(1 << 30)) / float(1 << 30)
+    texts = known.filter(ticket < share[F.col("lang")])
+    place = F.explode(F.sequence(F.lit(0), F.greatest(F.lit(0), F.floor((F.length("text") - 1) / PIECE).cast("int"))))
+    pieces = texts.withColumn("place", place).select(
+        "lang", F.xxhash64("doc_id", "place", F.lit(6)).alias("order"),
+        F.substring("text", F.col("place") * PIECE + 1, F.lit(PIECE)).alias("piece"),
     )
-    return fit([t.encode()[:LEARNED_BYTES] for t in rows["text"]], rows["lang"].tolist())
+    nth = F.row_number().over(Window.partitionBy("lang").orderBy("order", "piece"))
+    rows = pieces.withColumn("nth", nth).filter(F.col("nth") <= LEARNED).select("lang", "nth", "piece").collect()
+    rows.sort(key=lambda r: (r["lang"], r["nth"]))
+    return fit([r["piece"].encode() for r in rows], [r["lang"] for r in rows])
 
 
 def identify(docs: DataFrame) -> DataFrame:
@@ -209,7 +213,7 @@ def identify(docs: DataFrame) -> DataFrame:
 
     A null text and one without a letter are ``und`` with score 0, as is every text when no language could be
     learned. A text none of whose n-grams is known gets the first language with score 1 / languages. Rows
-    with a null lang are not learned but identified. Repeated rows are returned as often as they occur, a null
+    with a null lang are not learned but identified. A text of any length is scored by all its pieces. Repeated rows are returned as often as they occur, a null
     doc_id is kept, and other columns are not read.
     """
     model = learn(docs)

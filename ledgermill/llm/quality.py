@@ -1,12 +1,15 @@
 """Compression classifier of text quality.
 
-Two zstandard dictionaries are trained, one on good and one on bad labelled texts. A text is compressed
-whole with either; the difference of the sizes over the text's length, put through a logistic curve
-fitted on other labelled texts, is its score.
+Two zstandard dictionaries are trained, one on good and one on bad labelled texts. A text is cut into blocks of a few
+kilobytes and every block is compressed afresh with either dictionary, as a dictionary helps only near the start of a frame.
+The difference of the sizes over the text's length, put through a logistic curve fitted on other
+labelled texts, is its score.
 """
 
 from __future__ import annotations
 
+import heapq
+import zlib
 from collections.abc import Iterator
 
 import numpy as np
@@ -19,11 +22,20 @@ from ledgermill.llm.frames import held_out, small_batches
 
 #: Labelled texts per class from which the dictionaries are trained, and on which the curve is fitted.
 TRAINED, FITTED = 3000, 3000
-#: Bytes of a labelled text that training reads; scoring always reads whole texts.
-TRAINED_BYTES = 16_384
+#: Blocks per class that a dictionary is trained on, chosen by their checksum from all blocks of the trained texts.
+SAMPLED = 6000
+#: Bytes of a block at most.
+BLOCK = 4096
 DICTIONARY_BYTES = 65_536
 LEVEL = 3
 _COLUMNS = "doc_id long, held_out boolean, score double, predicted int"
+_TEXTS = 256
+
+
+def blocks(text: bytes) -> list[bytes]:
+    """The text in as few parts as its length calls for, of nearly equal length; none for an empty text."""
+    n = -(-len(text) // BLOCK)
+    return [text[len(text) * k // n : len(text) * (k + 1) // n] for k in range(n)]
 
 
 def _dictionary(texts: list[bytes]) -> bytes:
@@ -52,7 +64,7 @@ def differences(texts: list[bytes], dictionaries: tuple[bytes, bytes]) -> np.nda
     """Bytes per byte of text that the bad dictionary saves over the good one; 0 for an empty text."""
     good, bad = _compressors(dictionaries)
     return np.array(
-        [(len(good.compress(t)) - len(bad.compress(t))) / len(t) if t else 0.0 for t in texts], float
+        [sum(len(good.compress(b)) - len(bad.compress(b)) for b in blocks(t)) / len(t) if t else 0.0 for t in texts], float
     )
 
 
@@ -72,11 +84,38 @@ def _fit(x: np.ndarray, y: np.ndarray, weight: np.ndarray) -> tuple[float, float
     return float(beta[0] / scale), float(beta[1])
 
 
+def _train_dictionaries(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """One row per class from (quality, text) rows; holds SAMPLED blocks per class, whatever the texts' length."""
+    kept: dict[int, list] = {0: [], 1: []}
+    for batch in batches:
+        for quality, text in zip(*(c.to_pylist() for c in batch.columns)):
+            heap = kept[quality]
+            for block in blocks(text):
+                entry = (-zlib.crc32(block), block)
+                if len(heap) < SAMPLED:
+                    heapq.heappush(heap, entry)
+                elif entry > heap[0]:
+                    heapq.heapreplace(heap, entry)
+    # In one order, so that the same blocks always make the same dictionary.
+    made = [_dictionary([b for _, b in sorted(kept[q], reverse=True)]) if kept[q] else b"" for q in (0, 1)]
+    yield pa.RecordBatch.from_arrays([pa.array([0, 1], pa.int32()), pa.array(made, pa.binary())], names=["quality", "made"])
+
+
+def _differ(dictionaries: tuple[bytes, bytes]):
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            x = differences(batch.column(1).to_pylist(), dictionaries)
+            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(x)], names=["quality", "x"])
+
+    return run
+
+
 def train(docs: DataFrame, labels: DataFrame) -> tuple[tuple[bytes, bytes], float, float]:
     """(dictionaries, slope, intercept) from labelled rows that are not held out.
 
     A fixed hash of the id picks at most TRAINED and FITTED rows per class; the curve weighs the classes by
-    their numbers among all labelled rows, counted over the whole table.
+    their numbers among all labelled rows, counted over the whole table. Texts are read whole. One executor task trains the
+    dictionaries; the driver gets ids, the dictionaries and one number per fitted text.
     """
     usable = labels.filter(F.col("quality").isin(0, 1) & F.col("doc_id").isNotNull()).select(
         F.col("doc_id").cast("long").alias("doc_id"), F.col("quality").cast("int").alias("quality")
@@ -88,45 +127,54 @@ def train(docs: DataFrame, labels: DataFrame) -> tuple[tuple[bytes, bytes], floa
     order = F.xxhash64("doc_id", F.lit(5))
     ticket = F.pmod(order, F.lit(1 << 30)) / float(1 << 30)
     limit = F.when(F.col("quality") == 1, share.get(1, 0.0)).otherwise(share.get(0, 0.0))
-    picked = usable.filter(ticket < limit).withColumn("order", order).toPandas()
-    picked = (
-        picked.drop_duplicates("doc_id").sort_values(["order", "doc_id"]).groupby("quality", sort=True).head(most)
-    )
-    if picked.empty:
+    rows = sorted(tuple(r) for r in usable.filter(ticket < limit).select(order.alias("order"), "doc_id", "quality").collect())
+    ids: dict[int, list[int]] = {0: [], 1: []}
+    seen = set()
+    for _, doc_id, q in rows:
+        if doc_id not in seen:
+            seen.add(doc_id)
+            ids[q].append(doc_id)
+    parts = []
+    for q, own in ids.items():
+        own = own[:most]
+        split = min(TRAINED, -(-len(own) * 6 // 10))
+        parts += [(i, q, True, False) for i in own[:split]]
+        # With one text of a class, it serves for both.
+        parts += [(i, q, not own[split:], True) for i in own[split:] or own[:split]]
+    if not parts:
         return (b"", b""), 0.0, 0.0
-    chosen = docs.sparkSession.createDataFrame(picked[["doc_id", "quality"]])
+    chosen = docs.sparkSession.createDataFrame(parts, "doc_id long, quality int, trains boolean, fits boolean").distinct()
     texts = (
-        docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
+        docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").cast("binary").alias("text"))
+        .filter(F.length("text") > 0)
         .join(F.broadcast(chosen), "doc_id")  # at most 2 * (TRAINED + FITTED) ids
-        .select("doc_id", "quality", F.substring("text", 1, TRAINED_BYTES).alias("text"))
-        .toPandas().drop_duplicates("doc_id").merge(picked[["doc_id", "order"]], on="doc_id")
-        .sort_values(["order", "doc_id"])
     )
-    texts["raw"] = [(t or "").encode()[:TRAINED_BYTES] for t in texts["text"]]
-    texts = texts[texts["raw"].map(len) > 0]
-    part = {}
-    for q in (1, 0):
-        rows = texts.loc[texts["quality"] == q, "raw"].tolist()
-        split = min(TRAINED, -(-len(rows) * 6 // 10))
-        part[q] = rows[:split], rows[split:]
-    dictionaries = _dictionary(part[1][0]), _dictionary(part[0][0])
-    x, y, weight = [], [], []
-    for q in (1, 0):
-        rows = part[q][1] or part[q][0]
-        if rows:
-            x.append(differences(rows, dictionaries))
-            y.append(np.full(len(rows), float(q)))
-            weight.append(np.full(len(rows), counts.get(q, 0) / len(rows)))
-    if len(x) < 2:
+    dictionaries = {
+        r["quality"]: bytes(r["made"])
+        for r in small_batches(texts).filter("trains").groupBy("doc_id", "quality").agg(F.min("text").alias("text"))
+        .select("quality", "text").repartition(1).mapInArrow(_train_dictionaries, "quality int, made binary").collect()
+    }
+    pair = dictionaries.get(1, b""), dictionaries.get(0, b"")
+    fitted = (
+        texts.filter("fits").groupBy("doc_id", "quality").agg(F.min("text").alias("text")).select("quality", "text")
+        .mapInArrow(_differ(pair), "quality int, x double").collect()
+    )
+    x = {q: sorted(r["x"] for r in fitted if r["quality"] == q) for q in (1, 0)}
+    if not x[1] or not x[0]:
         # One class only: nothing to tell apart, every text gets that class's score.
-        return dictionaries, 0.0, 30.0 if part[1][0] else -30.0
-    return dictionaries, *_fit(np.concatenate(x), np.concatenate(y), np.concatenate(weight))
+        return pair, 0.0, 30.0 if x[1] else -30.0 if x[0] else 0.0
+    y = np.concatenate([np.full(len(x[q]), float(q)) for q in (1, 0)])
+    weight = np.concatenate([np.full(len(x[q]), counts[q] / len(x[q])) for q in (1, 0)])
+    return pair, *_fit(np.array(x[1] + x[0]), y, weight)
 
 
 def _values(texts: pa.Array, model) -> np.ndarray:
     dictionaries, slope, intercept = model
-    raw = [t or b"" for t in texts.cast(pa.binary()).to_pylist()]
-    return 1 / (1 + np.exp(-np.clip(slope * differences(raw, dictionaries) + intercept, -30, 30)))
+    texts = texts.cast(pa.binary())
+    out = [np.zeros(0)]
+    for at in range(0, len(texts), _TEXTS):
+        out.append(differences([t or b"" for t in texts.slice(at, _TEXTS).to_pylist()], dictionaries))
+    return 1 / (1 + np.exp(-np.clip(slope * np.concatenate(out) + intercept, -30, 30)))
 
 
 def accepted(docs: DataFrame, labels: DataFrame) -> DataFrame:
@@ -143,9 +191,10 @@ def accepted(docs: DataFrame, labels: DataFrame) -> DataFrame:
 def score(docs: DataFrame, labels: DataFrame) -> DataFrame:
     """doc_id, held_out, score and predicted of every document.
 
-    A null text counts as empty; an empty text gets the score of a difference of 0. Labels other than 0 and 1
-    and null ids are not learned. Without labels every score is 0.5. Repeated rows are scored as often
-    as they occur, and a null doc_id is kept. Other columns of either table are not read.
+    A null text counts as empty; an empty text gets the score of a difference of 0. A text of any length is scored by all
+    its blocks. Labels other than 0 and 1
+    and null ids are not learned; of rows that repeat an id the least text is. Without labels every score is 0.5. Repeated rows
+    are scored as often as they occur, and a null doc_id is kept. Other columns of either table are not read.
     """
     model = train(docs, labels)
     rows = docs.select(

@@ -1,13 +1,17 @@
 """Secret scanning: a wide regular-expression net, and a random forest that removes false alarms.
 
-The net finds key-like strings, values assigned to telling names, and private-key blocks. The forest judges
-each finding by its length, character transitions, dictionary coverage, path and neighbouring words. It
+The net finds key-like strings, strings with a known key prefix, values assigned to telling names, passwords in
+urls and private-key blocks. The forest judges
+each finding by its length, character transitions, dictionary coverage, path and neighbouring words. The dictionary
+is the corpus': words that stand alone in several documents. The forest
 is trained from labelled findings; without any of the user's own, snippets built from the corpus'
 words around made-up keys and look-alikes (hashes, ids, paths, placeholders) are labelled by construction.
 """
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.classification import RandomForestClassifier
 from pyspark.ml.feature import VectorAssembler
@@ -16,6 +20,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ledgermill.llm.frames import cut
+from ledgermill.operators.joins import keyed_join
 
 #: Documents whose words surround the made-up findings, and the words taken of each.
 CONTEXTS, CONTEXT_WORDS = 400, 8
@@ -24,14 +29,32 @@ MASK = "[SECRET]"
 #: Characters around a finding that its neighbouring words are read from.
 BEFORE, AFTER = 48, 16
 
-_NAME = "passw(?:or)?d|passphrase|pwd|secret|token|credential|bearer|api[_-]?key|access[_-]?key|auth[_-]?key"
-_PEM = (
-    "-----BEGIN [A-Z ]{0,40}PRIVATE KEY-----[A-Za-z0-9+/=\\s]*+-----END [A-Z ]{0,40}PRIVATE KEY-----"
+#: A word is in the dictionary when it stands alone in so many documents.
+KNOWN = 3
+
+_NAME = (
+    "passw(?:or)?d|passphrase|passcode|pwd|(?<![A-Za-z])(?:[A-Za-z]{1,8}[_-])?pass(?![a-z])|secret|token|credential|bearer|"
+    "(?:api|access|auth|private|signing|encryption|client)[_-]?key"
+)
+_BLOCK = "[A-Z ]{0,40}PRIVATE KEY(?: BLOCK)?-----"
+# Up to the closing line, whatever lines or escaped line breaks are between.
+_PEM = f"-----BEGIN {_BLOCK}[^-]*+(?:-(?!----)[^-]*+)*+-----END {_BLOCK}"
+# A sign after the name and what belongs to it takes a value of any length; without one the value has 6 characters or more.
+_SIGNED = f"(?i:{_NAME})[\\w.-]{{0,40}}[\"'\\])]{{0,2}}\\s{{0,2}}(?:=>|:=|[=:])\\s{{0,2}}[\"'(]?"
+_SPACED = f"(?i:{_NAME})\\s[\"']?"
+_ASSIGNED = f"{_SIGNED}[^\\s\"',;)]++|{_SPACED}[^\\s\"',;]{{6,}}+"
+# What keys of known services begin with.
+_PREFIX = "AKIA|ASIA|ghp_|gho_|ghs_|github_pat_|glpat-|sk_live_|rk_live_|sk-|xox[abp]-|AIza|eyJ"
+_PREFIXED = f"(?<![A-Za-z0-9])(?:{_PREFIX})[A-Za-z0-9_./+=-]{{8,}}+"
+_IN_URL = "(?<=://)[^\\s/:@\"']{0,64}:[^\\s/@\"']{1,256}+(?=@)"
+# A bare key has a digit, or capitals and small letters in a longer run.
+_KEY = (
+    "(?<![A-Za-z0-9+/_-])(?:(?=[A-Za-z+/_-]*+[0-9])[A-Za-z0-9+/_-]{16,}+"
+    "|(?=[a-z+/_-]*+[A-Z])(?=[A-Z+/_-]*+[a-z])[A-Za-z+/_-]{20,}+)={0,2}"
 )
-_ASSIGNED = f"(?i:{_NAME})[\"']?(?:\\s{{0,2}}[=:]\\s{{0,2}}|\\s)[\"']?[^\\s\"',;]{{6,}}+"
-_KEY = "(?<![A-Za-z0-9+/_-])(?=[A-Za-z+/_-]*+[0-9])[A-Za-z0-9+/_-]{16,}+={0,2}"
-PATTERN = f"{_PEM}|{_ASSIGNED}|{_KEY}"
-_VALUE = f"^(?i:{_NAME})[\"']?(?:\\s{{0,2}}[=:]\\s{{0,2}}|\\s)[\"']?"
+PATTERN = f"{_PEM}|{_IN_URL}|{_ASSIGNED}|{_PREFIXED}|{_KEY}"
+# What precedes the value in a match: name and sign, or the user of a url.
+_VALUE = f"^(?:{_SIGNED}|{_SPACED}|[^\\s/:@\"'=-]{{0,64}}:(?=[^\\s/@]++$))"
 
 # Words that mark placeholders and prose rather than keys.
 _PLAIN = (
@@ -40,11 +63,17 @@ _PLAIN = (
     "the|and|for|with|that|this|from|xxx|000|123|abc"
 )
 FEATURES = (
-    "n", "digits", "uppers", "lowers", "others", "switches", "distinct", "plain", "hexadecimal",
+    "n", "digits", "uppers", "lowers", "others", "switches", "distinct", "plain", "covered", "hexadecimal",
     "known_prefix", "in_path", "dots", "assigned", "named", "hash_near", "quoted",
 )
 
 
+def _runs() -> Column:
+    """Runs of letters that the dictionary is asked for; a capital after a small letter begins another run."""
+    parted = F.regexp_replace(F.left("value", F.lit(256)), "([a-z])([A-Z])", "$1 $2")
+    return F.regexp_extract_all(F.lower(parted), F.lit("[\\p{L}]{3,}"), F.lit(0))
+
+
 def findings_in(docs: DataFrame, *keep: str) -> DataFrame:
     """One row per match: the columns ``keep``, start (in characters), match, value, before and after."""
     found = docs.withColumn("found", F.regexp_extract_all("text", F.lit(PATTERN), F.lit(0))).filter(
@@ -68,7 +97,7 @@ def findings_in(docs: DataFrame, *keep: str) -> DataFrame:
         "match", value.alias("value"),
         F.when(F.length(before) > BEFORE, F.right(before, F.lit(BEFORE))).otherwise(before).alias("before"),
         F.left(F.get("between", at + 1), F.lit(AFTER)).alias("after"),
-    ).filter("length(value) >= 6")
+    ).filter("value <> ''")
 
 
 def _share(value: Column, pattern: str) -> Column:
@@ -77,7 +106,8 @@ def _share(value: Column, pattern: str) -> Column:
 
 
 def with_features(found: DataFrame) -> DataFrame:
-    """What the forest looks at, as doubles. Only the first 256 characters of a private key are looked at."""
+    """What the forest looks at, as doubles; ``covered`` comes from :func:`with_coverage`. Of a longer value the first 256
+    characters are described, with 256 as its length; the finding itself is the whole value."""
     value = F.left("value", F.lit(256))
     kinds = F.regexp_replace(F.regexp_replace(F.regexp_replace(value, "[a-z]", "a"), "[A-Z]", "A"), "[0-9]", "9")
     has = lambda c, p: c.rlike(p).cast("double")
@@ -93,7 +123,7 @@ def with_features(found: DataFrame) -> DataFrame:
         "distinct": F.size(F.array_distinct(F.split(value, ""))) / F.length(value),
         "plain": 1 - F.length(F.regexp_replace(F.lower(value), _PLAIN, "")) / F.length(value),
         "hexadecimal": has(value, "^[0-9a-f]{12,}$"),
-        "known_prefix": has(value, "^(AKIA|ASIA|ghp_|gho_|ghs_|sk_live_|sk-|xox[abp]-|AIza|eyJ|-----BEGIN)"),
+        "known_prefix": has(value, f"^({_PREFIX}|-----BEGIN)"),
         "in_path": F.greatest(has(F.col("before"), r"[/.@\\]$"), has(value, "/[a-z]{2,}/|://|@")),
         "dots": has(F.col("after"), r"^[.@/][A-Za-z]"),
         "assigned": F.greatest(has(F.col("before"), r"[=:]\s{0,2}[\"']?$"), has(F.col("match"), r"^[^\s\"']{1,20}[\"']?\s{0,2}[=:]")),
@@ -104,6 +134,31 @@ def with_features(found: DataFrame) -> DataFrame:
     return found.withColumns({k: F.coalesce(v.cast("double"), F.lit(0.0)) for k, v in columns.items()})
 
 
+def dictionary(docs: DataFrame, found: DataFrame) -> DataFrame:
+    """(word): what stands alone, as a word of letters, in KNOWN documents or more, of the runs of letters in findings.
+
+    Only words that findings ask for are counted. Copies of a text count as documents of their own.
+    """
+    asked = found.select(F.explode(_runs()).alias("word")).distinct()
+    words = F.array_distinct(F.regexp_extract_all(F.lower("text"), F.lit("(?<![\\p{L}\\p{N}_/+-])\\p{L}{3,}(?![\\p{L}\\p{N}_/+=-])"), F.lit(0)))
+    said = docs.select(F.explode(words).alias("word")).join(asked, "word", "left_semi")
+    return said.groupBy("word").agg(F.count(F.lit(1)).alias("n")).filter(F.col("n") >= KNOWN).select("word")
+
+
+def with_coverage(found: DataFrame, known: DataFrame) -> DataFrame:
+    """``found`` with ``covered``: the share of a value's characters that lie in words of the dictionary.
+
+    Equal values are looked up once. Findings are few beside the documents; only they are shuffled.
+    """
+    runs = found.select("value").distinct().select("value", F.explode(_runs()).alias("word"))
+    covered = runs.join(known, "word").groupBy("value").agg(
+        (F.sum(F.length("word")) / F.least(F.first(F.length("value")), F.lit(256))).alias("covered")
+    )
+    # A value may stand in very many documents.
+    joined = keyed_join(found, covered, ["value"], "left", force_salt=True, profile=found.select("value"))
+    return joined.withColumn("covered", F.coalesce("covered", F.lit(0.0)))
+
+
 def made_up_findings(docs: DataFrame) -> DataFrame:
     """Labelled findings (the columns of :func:`findings_in` and ``label``) around words of the corpus.
 
@@ -145,6 +200,18 @@ def made_up_findings(docs: DataFrame) -> DataFrame:
         text(say('"secret": "'), hexa(13, 64), say('"')), text(say("access_key="), upper(14, 20)),
         text(say("-----BEGIN RSA PRIVATE KEY-----\n"), mixed(15, 64), say("\n"), mixed(16, 64), say("\n-----END RSA PRIVATE KEY-----")),
         text(say("token="), alnum(17, 24)), text(say("API-KEY: "), hexa(18, 32)),
+        text(say("AKIA"), F.translate(hexa(19, 16), "0123456789abcdef", "QXRTVWMNBKZLPAEI")), text(say("SECRET_KEY='"), mixed(20, 40), say("'")),
+        text(say("AUTH_TOKEN_PROD="), alnum(21, 24)), text(say('db_pass = "'), alnum(22, 9), say('"')), text(say("DB_PASS="), alnum(23, 7)),
+        text(say("password="), alnum(24, 5)), text(say('"client_secret" : "'), alnum(25, 20), say('"')), text(say("passphrase: "), mixed(26, 14)),
+        text(say("postgres://"), word(2), say(":"), alnum(27, 10), say("@db.internal:5432/main")), text(say("mysql://root:"), alnum(28, 6), say("@10.0.0.7/app")),
+        text(
+            say("-----BEGIN RSA PRIVATE KEY-----\nProc-Type: 4,ENCRYPTED\nDEK-Info: AES-128-CBC,"), F.upper(hexa(29, 32)), say("\n\n"),
+            mixed(30, 64), say("\n-----END RSA PRIVATE KEY-----"),
+        ),
+        text(say("-----BEGIN PGP PRIVATE KEY BLOCK-----\nVersion: 2\n\n"), mixed(51, 64), say("\n-----END PGP PRIVATE KEY BLOCK-----")),
+        text(say("-----BEGIN PRIVATE KEY-----\\n"), mixed(52, 64), say("\\n-----END PRIVATE KEY-----")),
+        text(say("glpat-"), alnum(53, 20)), text(say("eyJ"), alnum(54, 33), say(".eyJ"), alnum(55, 40), say("."), alnum(56, 43)),
+        F.regexp_replace(mixed(57, 40), "[0-9]", "x"), text(say("private_key: "), hexa(58, 64)), text(say("pwd="), alnum(59, 8)),
     ]
     harmless = [
         text(say("commit "), hexa(31, 40)), text(say("sha256: "), hexa(32, 64)), text(say("md5="), hexa(33, 32)),
@@ -158,6 +225,12 @@ def made_up_findings(docs: DataFrame) -> DataFrame:
         text(word(1), say("_"), word(2), say("_"), word(3), say("_v2_final")),
         text(say("mail "), word(2), say(".61"), say("@mail7.example.com")), text(say("checksum "), mixed(38, 44)),
         text(say("uuid="), uuid(39)), text(say("phone 555-0100-2000-30"), hexa(40, 2)),
+        text(say("token: "), word(1)), text(say("password: "), word(2)), text(say("secret="), word(3)), text(say("the password is: "), word(0)),
+        say("password=${DB_PASSWORD}"), say("token: <your-token>"), say("api_key = os.environ"), say('"password": "********"'), say("pwd: n/a"),
+        say("https://user:password@example.com/"), text(say("see http://"), word(0), say(":8080@")), say("token_count: 2048"), say("max_tokens = 512"),
+        text(word(0), F.initcap(word(1)), F.initcap(word(2)), F.initcap(word(3)), say("Handler")),
+        text(say("passage: "), word(1), say(" "), word(2)), text(say("secretary: "), F.initcap(word(3))), say("password: required"), say("token=null"),
+        text(word(1), say("/"), word(2), say("/"), word(3), say("/"), word(4)), text(say("passed: "), word(2)), say("password_length: 12"),
     ]
     label = lambda parts, y: [F.struct(p.alias("said"), say(float(y)).alias("label")) for p in parts]
     snippets = (
@@ -175,7 +248,7 @@ def made_up_findings(docs: DataFrame) -> DataFrame:
 
 
 def train(labelled: DataFrame) -> PipelineModel:
-    """Random forest from labelled findings (match, value, before, after, label 1.0 for secrets)."""
+    """Random forest from labelled findings (match, value, before, after, covered, label 1.0 for secrets)."""
     rows = with_features(labelled.filter("label in (0.0, 1.0)")).select("label", *FEATURES)
     return Pipeline(stages=[
         VectorAssembler(inputCols=list(FEATURES), outputCol="features"),
@@ -183,6 +256,16 @@ def train(labelled: DataFrame) -> PipelineModel:
     ]).fit(cut(rows))
 
 
+def _scored(docs: DataFrame, key: str, labelled: DataFrame | None, corpus: DataFrame | None = None) -> DataFrame:
+    """Findings of ``docs`` (``key`` and text) with ``score``, by a forest and a dictionary made from the whole corpus."""
+    found = cut(findings_in(docs, key))
+    texts = (docs if corpus is None else corpus).filter("text is not null").select("text")
+    learned = cut(labelled if labelled is not None else made_up_findings(texts))
+    known = cut(dictionary(texts, found.select("value").unionByName(learned.select("value"))))
+    model = train(with_coverage(learned, known))
+    return judged(with_coverage(found, known), model)
+
+
 def judged(found: DataFrame, model: PipelineModel) -> DataFrame:
     """Findings with ``score``, the forest's probability that one is a secret."""
     kept = found.columns
@@ -198,17 +281,18 @@ def scan(docs: DataFrame, labelled: DataFrame | None = None, least: float = 0.5)
     """One row per secret: doc_id, start and length in characters, kind, value_sha256 and score.
 
     Null and empty texts have no findings. Repeated rows report their findings as often as they occur; a null
-    doc_id is kept; other columns are not read. Values are reported as digests only.
+    doc_id is kept; other columns are not read. Texts of any length are scanned whole; findings do not overlap, and of two
+    that begin together the kind named first in the net is reported. Values are reported as digests only. ``labelled`` has
+    match, value, before, after and label.
     """
     texts = _texts(docs)
-    model = train(labelled if labelled is not None else made_up_findings(texts))
     kind = (
         F.when(F.col("value").startswith("-----BEGIN"), "private key")
         .when(F.col("value").rlike("^(AKIA|ASIA)"), "access key id")
         .when(F.col("match") != F.col("value"), F.lower(F.regexp_extract("match", f"^(?i:{_NAME})", 0)))
         .otherwise("key")
     )
-    return judged(findings_in(texts, "doc_id"), model).filter(F.col("score") >= least).select(
+    return _scored(texts, "doc_id", labelled).filter(F.col("score") >= least).select(
         "doc_id", F.col("start").cast("long").alias("start"), F.length("value").cast("long").alias("length"),
         kind.alias("kind"), F.sha2(F.col("value").cast("binary"), 256).alias("value_sha256"), "score",
     )
@@ -219,13 +303,11 @@ def redact(docs: DataFrame, labelled: DataFrame | None = None, least: float = 0.
 
     All rows and columns stay. Documents without any finding are passed on as they are, without a shuffle.
     """
-    texts = docs.filter("text is not null")
-    model = train(labelled if labelled is not None else made_up_findings(texts.select("text")))
-    suspect = F.coalesce(F.size(F.regexp_extract_all("text", F.lit(PATTERN), F.lit(0))) > 0, F.lit(False))
     # Written once, so that the row numbers hold when a task is run again.
-    row, secrets = "_row_of_scan", "_secrets_of_scan"
+    row, secrets = f"_row_{uuid.uuid4().hex}", f"_secrets_{uuid.uuid4().hex}"
+    suspect = F.coalesce(F.size(F.regexp_extract_all("text", F.lit(PATTERN), F.lit(0))) > 0, F.lit(False))
     doubtful = cut(docs.filter(suspect).withColumn(row, F.monotonically_increasing_id()))
-    found = judged(findings_in(doubtful.select(row, "text"), row), model).filter(F.col("score") >= least)
+    found = _scored(doubtful.select(row, "text"), row, labelled, docs).filter(F.col("score") >= least)
     # Longer ones first, so that none is cut by one that it contains.
     longest = F.sort_array(F.collect_set(F.struct(F.length("value").alias("n"), "value")), asc=False)
     values = found.groupBy(row).agg(longest.alias(secrets))

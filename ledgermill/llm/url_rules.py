@@ -38,15 +38,19 @@ def _digest(expression: Column) -> Column:
     return F.sha2(expression.cast("binary"), 256)
 
 
-def _host_suffixes(host: Column) -> Column:
-    """The host and what follows each of its dots; none for an empty host."""
-    labels = F.split(host, r"\.")
+def _labels(host: Column) -> Column:
+    return F.length(host) - F.length(F.replace(host, F.lit("."), F.lit(""))) + 1
+
+
+def _host_suffixes(host: Column, deepest: Column) -> Column:
+    """The last labels of the host, 1 to ``deepest`` of them and no more than it has; none for an empty host.
+
+    A suffix with more labels than any rule's host fits no rule, so a host of any length has few.
+    """
+    most = F.least(_labels(host), deepest)
     return F.when(
-        host != "",
-        F.transform(
-            F.sequence(F.lit(1), F.size(labels)),
-            lambda k: F.array_join(F.slice(labels, k, F.size(labels)), "."),
-        ),
+        (host != "") & (most >= 1),
+        F.transform(F.sequence(F.lit(1), most), lambda k: F.call_function("substring_index", host, F.lit("."), -k)),
     )
 
 
@@ -67,6 +71,8 @@ def judge(pages: DataFrame, rules: DataFrame, default: str = "allow") -> DataFra
         ).alias("rule_host"),
         F.when(slash > 0, F.expr("substring(rule, instr(rule, '/'))")).otherwise(F.lit("")).alias("rule_path"),
     ).filter("rule_host <> ''")
+    # One number, read when the query runs; null without rules.
+    deepest = known.agg(F.max(_labels(F.col("rule_host"))).alias("n")).scalar()
     known = known.select(
         "rule_verdict", "rule_text", "rule_host", F.length("rule_path").alias("rule_length"),
         _digest(F.concat("rule_host", "rule_path")).alias("rule_digest"),
@@ -84,7 +90,8 @@ def judge(pages: DataFrame, rules: DataFrame, default: str = "allow") -> DataFra
     )
     suffix = _digest(F.col("suffix"))
     expressions = (
-        urls.select("*", F.explode(_host_suffixes(F.col("host"))).alias("suffix"))
+        urls.withColumn("deepest", deepest)
+        .select("*", F.explode(_host_suffixes(F.col("host"), F.col("deepest"))).alias("suffix"))
         .withColumn("short", F.substring(suffix, 1, SHORT))
         .join(hosts, F.col("short") == F.col("host_short"))
         .filter(suffix == F.col("host_digest"))

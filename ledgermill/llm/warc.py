@@ -11,6 +11,9 @@ import os
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ledgermill.llm.frames import cut, drop
+from ledgermill.operators.joins import keyed_join
+
 _ALPHABET = "ABCDEFGHIJKLMNOPQRSTUVWXYZ234567"
 _DATE = "2026-01-01T00:00:00Z"
 _HTTP = "HTTP/1.1 200 OK\r\nContent-Type: text/html; charset=utf-8\r\nContent-Length: "
@@ -60,12 +63,15 @@ def write_archive(pages: DataFrame, path: str, min_bytes: int = 0) -> None:
         "digest", F.when(F.col("a") == F.col("b"), F.col("payload")).otherwise(clash).alias("payload")
     ).write.parquet(os.path.join(path, "payloads"))
 
-    about = rows.select(
+    # Without payloads from here on; written once, so that pages are digested once.
+    short = cut(rows.select(
         "page_id", "url", "digest", F.length("payload").cast("long").alias("bytes"),
         base32_sha1(F.col("payload")).alias("sha1"),
-    )
-    largest = about.groupBy("digest").agg(F.max("page_id").alias("largest"))
-    about = about.join(largest, "digest").withColumn(
+    ))
+    largest = short.groupBy("digest").agg(F.max("page_id").alias("largest"))
+    about = keyed_join(
+        short, largest, ["digest"], "inner", force_salt=True, spread=["page_id", "url"], profile=short.select("digest")
+    ).withColumn(
         "revisit",
         (F.col("bytes") >= min_bytes) & F.col("largest").isNotNull()
         & ~F.col("page_id").eqNullSafe(F.col("largest")),
@@ -93,40 +99,52 @@ def write_archive(pages: DataFrame, path: str, min_bytes: int = 0) -> None:
         http,
     )
     about.select("digest", header.cast("binary").alias("header")).write.parquet(os.path.join(path, "records"))
+    drop(short)
+
 
+def _field(lines: Column, name: str) -> Column:
+    """Value of a header line; null if there is none."""
+    own = F.filter(lines, lambda line: line.startswith(f"{name}: "))
+    return F.substr(F.get(own, F.lit(0)), F.lit(len(name) + 3))
 
-def _field(header: Column, pattern: str) -> Column:
-    found = F.regexp_extract(header, rf"(?m)^{pattern}\r\n", 1)
-    return F.when(found != "", found)
+
+def _page(urn: Column) -> Column:
+    number = F.regexp_extract(urn, r"^<urn:page:(-?\d+)>$", 1)
+    return F.when(number != "", number).cast("long")
 
 
 def read_archive(spark: SparkSession, path: str) -> DataFrame:
     """Every record: page_id, record_type, refers_to, payload_digest, payload and the whole ``record``.
 
     The payload of a revisit is that of the record it refers to; its ``record`` ends after the header, as
-    written. A payload that does not have the digest named in its header stops the job.
+    written. Header values may hold any character, line ends of other systems included. A payload that does not have the
+    strong digest it is stored by, or the one named in its header, stops the job.
     """
     payloads = spark.read.schema("digest string, payload binary").parquet(os.path.join(path, "payloads"))
     records = spark.read.schema("digest string, header binary").parquet(os.path.join(path, "records"))
-    text = F.col("text")
-    joined = (
-        records.withColumn("text", F.col("header").cast("string"))
-        .select(
-            "digest", "header",
-            _field(text, r"WARC-Record-ID: <urn:page:(-?\d+)>").cast("long").alias("page_id"),
-            _field(text, "WARC-Type: (.*)").alias("record_type"),
-            _field(text, r"WARC-Refers-To: <urn:page:(-?\d+)>").cast("long").alias("refers_to"),
-            _field(text, "WARC-Payload-Digest: sha1:(.*)").alias("named"),
-        )
-        # The digest of a payload is taken once, however many records share it.
-        .join(payloads.withColumn("payload_digest", base32_sha1(F.col("payload"))), "digest", "left")
+    # Header lines end at CR LF and nowhere else, and the header at the first empty line.
+    lines = F.split(F.substring_index(F.col("header").cast("string"), "\r\n\r\n", 1), "\r\n")
+    # The digests of a payload are taken once, however many records share it.
+    stored = payloads.filter("digest is not null").withColumns({
+        "payload_digest": base32_sha1(F.col("payload")), "sound": F.sha2("payload", 256) == F.col("digest"),
+    })
+    fields = records.withColumn("lines", lines).select(
+        "digest", "header",
+        _page(_field(F.col("lines"), "WARC-Record-ID")).alias("page_id"),
+        _field(F.col("lines"), "WARC-Type").alias("record_type"),
+        _page(_field(F.col("lines"), "WARC-Refers-To")).alias("refers_to"),
+        F.regexp_extract(_field(F.col("lines"), "WARC-Payload-Digest"), r"^sha1:(.*)$", 1).alias("named"),
+    )
+    # Records of one much-copied payload are spread over tasks.
+    joined = keyed_join(
+        fields, stored, ["digest"], "left", force_salt=True, spread=["page_id"], profile=records.select("digest")
     )
     wrong = F.raise_error(F.lit("an archived payload is missing or does not match its digest"))
     tail = F.lit(b"\r\n\r\n")
     body = F.when(F.col("record_type") == "response", F.col("payload")).otherwise(F.lit(b""))
     return joined.select(
         "page_id", "record_type", "refers_to",
-        F.when(F.col("named") == F.col("payload_digest"), F.col("payload_digest"))
+        F.when((F.col("named") == F.col("payload_digest")) & F.col("sound"), F.col("payload_digest"))
         .otherwise(wrong).alias("payload_digest"),
         "payload", F.concat("header", body, tail).alias("record"),
     )

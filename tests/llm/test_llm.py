@@ -435,12 +435,12 @@ def test_decontamination_catches_new_parameters_only_if_consistent(spark):
     items = spark.createDataFrame([(1, ITEM, "z"), (2, None, "z"), (3, "a b", "z"), (1, ITEM, "z")], "item_id long, text string, key string")
     docs = documents(spark, rows, extra=True)
     got = {(r.doc_id, r.item_id): r.coverage for r in decontam.contaminated(docs, items).collect()}
-    assert set(got) == {(1, 1), (2, 1)} or set(got) == {(1, 1), (2, 1), (8, 1)}
+    assert set(got) == {(1, 1), (2, 1), (8, 1)}
     assert got[(2, 1)] == 1.0
     stored = frames.cut(docs)
     kept = decontam.keep_clean(stored, items)
     assert kept.columns == docs.columns
-    assert sorted((r.doc_id for r in kept.collect()), key=str) in ([3, 4, 5, 6, 7, 8], [3, 4, 5, 6, 7])
+    assert sorted((r.doc_id for r in kept.collect()), key=str) == [3, 4, 5, 6, 7]
     assert decontam.contaminated(docs.limit(0), items).collect() == []
     assert decontam.contaminated(docs, items.limit(0)).collect() == []
 
@@ -463,7 +463,7 @@ def test_decontamination_leaves_out_only_windows_that_contradict(spark):
 
 def test_decontamination_finds_copies_of_short_and_numeric_items(spark):
     items = ["Compute 12 + 34 * 56 - 7", "What is DNA?", "Solve " + " ".join(map(str, range(1, 30))), "Rome", "7 kg 9 lb Anna Bert 5 cm"]
-    docs = [f"Some text before. {x} And some after." for x in items] + ["Compute 12 + 34 * 56 - 8", "What was DNA?", "Solve 2 4 6 8 10 12 14 16 18", "Romeo", ""]
+    docs = [f"Some text before. {x}. And some after." for x in items] + ["Compute 12 + 34 * 56 - 8", "What was DNA?", "Solve 2 4 6 8 10 12 14 16 18", "Romeo", ""]
     table = spark.createDataFrame(list(enumerate(items)) + [(90, "?!"), (91, "")], "item_id long, text string")
     got = decontam.contaminated(documents(spark, list(enumerate(docs))), table).collect()
     assert {(r.doc_id, r.item_id, r.coverage) for r in got} == {(k, k, 1.0) for k in range(len(items))}
