@@ -629,7 +629,7 @@ add("stream_posting", ORDERS, POSTABLE, """
     case when o_orderkey % 3 <> 0 and o_orderpriority <> '1-URGENT' then fresh.vendor_id end vendor_id
   from p left join (select message_id, txn_type, vendor_id from fresh) fresh using (message_id)""")
 add("stream_sink", MAIL, f"select message_id, {_CATEGORY.format('label')} category, {_ROUTE} route from mail")
-add("stream_dup_check", ORDERS, """m as (
+add("stream_dup_by_batch", ORDERS, """m as (
   select a.o_orderkey k, min(b.o_orderkey) hit from o a join o b on a.o_custkey = b.o_custkey and a.o_orderdate = b.o_orderdate
     and abs(b.o_totalprice - (a.o_totalprice + case a.o_orderstatus when 'O' then 1000 else 0.004 end)) < 0.01 group by 1)""", """
   select cast(o_orderkey as varchar) message_id,

@@ -982,8 +982,8 @@ def stream_sink(spark, sf):
 
 
 @query
-def stream_dup_check(spark, sf):
-    """Orders as drafts against the posted bills: by number, or by the vendor, date and total of a bill."""
+def stream_dup_by_batch(spark, sf):
+    """Orders as drafts, each micro-batch against the posted bills: by number, or by the vendor, date and total of a bill."""
     bills = cut_lineage(V.bills(spark, sf).join(
         V.table(spark, sf, "orders").select(V.text("o_orderkey").alias("bill_id"), F.col("o_totalprice").alias("total")),
         "bill_id",
