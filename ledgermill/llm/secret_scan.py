@@ -32,29 +32,30 @@ BEFORE, AFTER = 48, 16
 #: A word is in the dictionary when it stands alone in so many documents.
 KNOWN = 3
 
+# Names by their first letter, so that most places in a text are left after one character.
 _NAME = (
-    "passw(?:or)?d|passphrase|passcode|pwd|(?<![A-Za-z])(?:[A-Za-z]{1,8}[_-])?pass(?![a-z])|secret|token|credential|bearer|"
-    "(?:api|access|auth|private|signing|encryption|client)[_-]?key"
+    "p(?:ass(?:w(?:or)?d|phrase|code)|wd|rivate[_-]?key)|(?<![a-z])pass(?![a-z])|s(?:ecret|igning[_-]?key)|token|"
+    "c(?:redential|lient[_-]?key)|bearer|a(?:pi|ccess|uth)[_-]?key|encryption[_-]?key"
 )
 _BLOCK = "[A-Z ]{0,40}PRIVATE KEY(?: BLOCK)?-----"
 # Up to the closing line, whatever lines or escaped line breaks are between.
 _PEM = f"-----BEGIN {_BLOCK}[^-]*+(?:-(?!----)[^-]*+)*+-----END {_BLOCK}"
 # A sign after the name and what belongs to it takes a value of any length; without one the value has 6 characters or more.
-_SIGNED = f"(?i:{_NAME})[\\w.-]{{0,40}}[\"'\\])]{{0,2}}\\s{{0,2}}(?:=>|:=|[=:])\\s{{0,2}}[\"'(]?"
-_SPACED = f"(?i:{_NAME})\\s[\"']?"
-_ASSIGNED = f"{_SIGNED}[^\\s\"',;)]++|{_SPACED}[^\\s\"',;]{{6,}}+"
+_SIGN = "[\\w.-]{0,40}[\"'\\])]{0,2}\\s{0,2}(?:=>|:=|[=:])\\s{0,2}[\"'(]?"
+_BLANK = "\\s[\"']?"
+_ASSIGNED = f"(?i:{_NAME})(?:{_SIGN}[^\\s\"',;)]++|{_BLANK}[^\\s\"',;]{{6,}}+)"
 # What keys of known services begin with.
-_PREFIX = "AKIA|ASIA|ghp_|gho_|ghs_|github_pat_|glpat-|sk_live_|rk_live_|sk-|xox[abp]-|AIza|eyJ"
-_PREFIXED = f"(?<![A-Za-z0-9])(?:{_PREFIX})[A-Za-z0-9_./+=-]{{8,}}+"
+_PREFIX = "AKIA|ASIA|AIza|ghp_|gho_|ghs_|github_pat_|glpat-|sk_live_|sk-|rk_live_|xoxa-|xoxb-|xoxp-|eyJ"
+_PREFIXED = f"(?=[Agsrxe])(?<![A-Za-z0-9])(?:{_PREFIX})[A-Za-z0-9_./+=-]{{8,}}+"
 _IN_URL = "(?<=://)[^\\s/:@\"']{0,64}:[^\\s/@\"']{1,256}+(?=@)"
 # A bare key has a digit, or capitals and small letters in a longer run.
 _KEY = (
-    "(?<![A-Za-z0-9+/_-])(?:(?=[A-Za-z+/_-]*+[0-9])[A-Za-z0-9+/_-]{16,}+"
+    "(?<![A-Za-z0-9+/_-])(?=[A-Za-z0-9+/_-]{16})(?:(?=[A-Za-z+/_-]*+[0-9])[A-Za-z0-9+/_-]++"
     "|(?=[a-z+/_-]*+[A-Z])(?=[A-Z+/_-]*+[a-z])[A-Za-z+/_-]{20,}+)={0,2}"
 )
 PATTERN = f"{_PEM}|{_IN_URL}|{_ASSIGNED}|{_PREFIXED}|{_KEY}"
 # What precedes the value in a match: name and sign, or the user of a url.
-_VALUE = f"^(?:{_SIGNED}|{_SPACED}|[^\\s/:@\"'=-]{{0,64}}:(?=[^\\s/@]++$))"
+_VALUE = f"^(?:(?i:{_NAME})(?:{_SIGN}|{_BLANK})|[^\\s/:@\"'=-]{{0,64}}:(?=[^\\s/@]++$))"
 
 # Words that mark placeholders and prose rather than keys.
 _PLAIN = (
@@ -140,7 +141,8 @@ def dictionary(docs: DataFrame, found: DataFrame) -> DataFrame:
     Only words that findings ask for are counted. Copies of a text count as documents of their own.
     """
     asked = found.select(F.explode(_runs()).alias("word")).distinct()
-    words = F.array_distinct(F.regexp_extract_all(F.lower("text"), F.lit("(?<![\\p{L}\\p{N}_/+-])\\p{L}{3,}(?![\\p{L}\\p{N}_/+=-])"), F.lit(0)))
+    # What is asked for holds letters only, so nothing with a digit or one of these signs in it counts.
+    words = F.array_distinct(F.split(F.lower("text"), r"[^\p{L}\p{N}_/+=-]+"))
     said = docs.select(F.explode(words).alias("word")).join(asked, "word", "left_semi")
     return said.groupBy("word").agg(F.count(F.lit(1)).alias("n")).filter(F.col("n") >= KNOWN).select("word")
 
