@@ -242,5 +242,5 @@ def write_pages(messages: DataFrame, path: str, page: str = "page") -> None:
     """Add messages to a feed; the column ``page`` says where they go. All pages appear when the write commits."""
     rows = messages.withColumnRenamed(page, "page").repartition("page")
     rows.write.mode("append").partitionBy("page").options(
-        ignoreNullFields="false", timestampFormat="yyyy-MM-dd'T'HH:mm:ss.SSSSSSXXX"
+        ignoreNullFields="false", timestampFormat="yyyy-MM-dd'T'HH:mm:ss.SSSSSSXXX", timestampNTZFormat="yyyy-MM-dd'T'HH:mm:ss.SSSSSS"
     ).json(path)

@@ -1,14 +1,14 @@
 """Duplicate check inside a stream: stateful registers of numbers and of amounts.
 
 Two stateful operators follow each other. The first, keyed by invoice number, knows who brought a number first. The
-second, keyed by vendor and date, holds the amounts of posted bills and of accepted drafts in buckets as wide as the tolerance. Bills
-posted before the stream began are the initial state. State lives in RocksDB, is restored from the checkpoint
+second, keyed by vendor and date, holds the amounts of posted bills and of accepted drafts. Every key costs one read and at most one
+write of its state per micro-batch. Bills posted before the stream began are the initial state, one row per key. State lives in RocksDB, is restored from the checkpoint
 and, with a lifetime, expires.
 """
 
 from __future__ import annotations
 
-import math
+from bisect import bisect_left, insort
 from collections.abc import Iterator
 
 from pyspark.sql import Column, DataFrame, Row
@@ -21,6 +21,7 @@ from ..operators.duplicates import TOLERANCE
 ROCKSDB = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
 _PROVIDER = "spark.sql.streaming.stateStore.providerClass"
 _HELD = "ord long, id string"
+_AMOUNTS = "amounts array<struct<total:double,ord:bigint,id:string>>"
 _DRAFT = "message_id string, ord long, vendor string, day string, total double"
 
 
@@ -34,12 +35,10 @@ class NumberRegister(StatefulProcessor):
         self.first = handle.getValueState("first", _HELD, self.lifetime_ms)
 
     def handleInitialState(self, key, initialState: Row, timerValues) -> None:
-        held = self.first.get() if self.first.exists() else None
-        if held is None or initialState["ord"] < held[0]:
-            self.first.update((initialState["ord"], initialState["id"]))
+        self.first.update((initialState["ord"], initialState["id"]))
 
     def handleInputRows(self, key, rows: Iterator[Row], timerValues) -> Iterator[Row]:
-        held = tuple(self.first.get()) if self.first.exists() else None
+        held = self.first.get()
         new = held is None
         for r in sorted(rows, key=lambda r: (r["ord"], r["message_id"])):
             yield Row(
@@ -54,57 +53,46 @@ class NumberRegister(StatefulProcessor):
         pass
 
 
-def _bucket(total: float) -> int:
-    # Amounts beyond a long's range share the last buckets; they are compared like any other.
-    return int(max(-9e18, min(9e18, math.floor(total / TOLERANCE))))
+def _entry(held) -> tuple:
+    return (held["total"], held["ord"], held["id"]) if not isinstance(held, tuple) or hasattr(held, "asDict") else held
 
 
 class AmountRegister(StatefulProcessor):
-    """Per vendor and date: amounts of bills and accepted drafts. A draft that nothing equals is accepted."""
+    """Per vendor and date: amounts of bills and accepted drafts, ascending. A draft that nothing equals is accepted."""
 
     def __init__(self, lifetime_ms: int | None = None):
         self.lifetime_ms = lifetime_ms
 
     def init(self, handle: StatefulProcessorHandle) -> None:
-        self.held = handle.getMapState(
-            "amounts", "bucket long", f"entries array<struct<total double, {_HELD.replace(' ', ':').replace(',:', ',')}>>",
-            self.lifetime_ms,
-        )
-
-    def _entries(self, bucket: int) -> list:
-        if not self.held.containsKey((bucket,)):
-            return []
-        return [tuple(e) for e in self.held.getValue((bucket,))[0]]
-
-    def _add(self, bucket: int, entry: tuple) -> None:
-        self.held.updateValue((bucket,), ([*self._entries(bucket), entry],))
+        self.held = handle.getValueState("held", _AMOUNTS, self.lifetime_ms)
 
     def handleInitialState(self, key, initialState: Row, timerValues) -> None:
-        total = initialState["total"]
-        self._add(_bucket(total), (total, initialState["ord"], initialState["id"]))
+        self.held.update((sorted(map(_entry, initialState["amounts"])),))
 
     def handleInputRows(self, key, rows: Iterator[Row], timerValues) -> Iterator[Row]:
-        seen: dict[int, list] = {}
+        state = self.held.get()
+        amounts = [] if state is None else [_entry(e) for e in state[0]]
+        known = len(amounts)
         for r in sorted(rows, key=lambda r: (r["ord"], r["message_id"])):
-            total, own = r["total"], _bucket(r["total"])
-            near = []
-            # One more bucket either side, since the division is rounded.
-            for b in range(own - 2, own + 3):
-                if b not in seen:
-                    seen[b] = self._entries(b)
-                near += [e[1:] for e in seen[b] if abs(e[0] - total) < TOLERANCE]
+            total = r["total"]
+            # Wider than the tolerance; what lies inside is compared exactly.
+            at, near = bisect_left(amounts, (total - 2 * TOLERANCE,)), []
+            while at < len(amounts) and amounts[at][0] <= total + 2 * TOLERANCE:
+                if abs(amounts[at][0] - total) < TOLERANCE:
+                    near.append(amounts[at][1:])
+                at += 1
             first = min(near, default=None)
             by_number = None if r["num_ord"] is None else (r["num_ord"], r["num_id"])
             if first is None and by_number is None:
-                entry = (total, r["ord"], r["message_id"])
-                seen[own].append(entry)
-                self._add(own, entry)
+                insort(amounts, (total, r["ord"], r["message_id"]))
                 found = rule = None
             elif first is None or by_number is not None and by_number[0] <= first[0]:
                 found, rule = by_number[1], "number"
             else:
                 found, rule = first[1], "vendor_date_amount"
             yield Row(message_id=r["message_id"], ord=r["ord"], duplicate_of=found, duplicate_rule=rule)
+        if len(amounts) > known:
+            self.held.update((amounts,))
 
     def close(self) -> None:
         pass
@@ -122,7 +110,8 @@ def check_stream(drafts: DataFrame, bills: DataFrame, lifetime_ms: int | None =
     amounts count only of bills and of drafts that are no duplicates. Empty numbers, and null vendors or totals, match nothing; a null
     date equals a null date. With ``lifetime_ms``, numbers and amounts not renewed for so long are forgotten; as that goes by
     the clock, such a stream runs with an interval until it is stopped, not until nothing new is there.
-    The drafts of one key within one micro-batch are held in memory, so the batch size bounds a task.
+    The drafts of one key within one micro-batch, and the different amounts of one vendor and day, are held in memory; a draft's outcome
+    depends on all before it, so a key is one task's work. The size of micro-batches bounds it.
     """
     wanted = drafts.select(
         "message_id", F.col("ord").cast("long").alias("ord"), present(F.col("invoice_number")).alias("number"),
@@ -149,6 +138,7 @@ def check_stream(drafts: DataFrame, bills: DataFrame, lifetime_ms: int | None =
         F.col("ord").cast("long").alias("ord"), F.col("bill_id").cast("string").alias("id"),
     ).filter(comparable())
     amounts = amounts.groupBy("vendor", "day", "total").agg(F.min_by("id", "ord").alias("id"), F.min("ord").alias("ord"))
+    amounts = amounts.groupBy("vendor", "day").agg(F.collect_list(F.struct("total", "ord", "id")).alias("amounts"))
     checked = known.filter(comparable()).groupBy("vendor", "day").transformWithState(
         AmountRegister(lifetime_ms), "message_id string, ord long, duplicate_of string, duplicate_rule string",
         "Append", mode, amounts.groupBy("vendor", "day"),
