@@ -5,10 +5,14 @@ Importing this module completes the catalogue: ``QUERIES`` and ``ORACLES`` hold
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..functions import sql
 from ..functions.scalars import label_category
+from ..operators import mail_model
 from ..operators import trackers as K
 from ..operators.keyed_table import KeyedTable
 from ..operators.reconcile import reconcile
@@ -352,3 +356,41 @@ add("stream_audit", """t as (
 ), counted as (select batch, txn_type, cast(sum(hard) as bigint) hard, count(*) filter (n > 1) soft from soft group by all)""", """
   select cast(batch as bigint) batch, txn_type, 'hard' strictness, hard n_groups from counted where txn_type <> 'Deposit'
   union all select batch, txn_type, 'soft', soft from counted""")
+
+
+# --- SQL only, and a trained classifier -------------------------------------------------------------------
+
+
+@query
+def ledger_lines_sql(spark, sf):
+    """Ledger lines of nested drafts, written in SQL over the registered functions."""
+    sql.register(spark)
+    view = f"drafts_{uuid.uuid4().hex}"
+    V.nested_drafts(spark, sf).select("message_id", "line_items", "tax").createOrReplaceTempView(view)
+    return spark.sql(f"""
+        SELECT message_id, pos, CAST(line_amount(rate, quantity) AS DECIMAL(18,4)) AS amount,
+          CASE WHEN is_tax THEN '31' ELSE expense_account(category) END AS account_id,
+          CASE WHEN is_tax THEN item ELSE line_description(item, quantity, rate) END AS description
+        FROM invoice_lines(TABLE({view}) PARTITION BY message_id)""")
+
+
+ORACLES["ledger_lines_sql"] = ORACLES["nested_ledger_lines"]
+
+# Each language has a desk of its own, which decides the label that its mail was given.
+DESKS = {"en": "client_communications", "fr": "invoice", "de": "shipping", "es": "insurance"}
+
+
+def desk_mail(spark: SparkSession, sf: str) -> DataFrame:
+    """Documents as mail, labelled by the desk of their language."""
+    label = F.create_map(*[F.lit(x) for pair in DESKS.items() for x in pair])[F.col("lang")]
+    return V.texts(spark, sf, "documents", "doc_id", "text", "lang").select(
+        F.concat(F.lit("d"), V.text("doc_id")).alias("message_id"), "text", label.alias("label")
+    )
+
+
+@query
+def classify_trained(spark, sf):
+    """Labels of all documents by a model trained on two thirds of them."""
+    mail = desk_mail(spark, sf)
+    model = mail_model.train_classifier(mail.filter(~mail_model.held_out(F.col("message_id"))))
+    return mail_model.classify_trained(mail, model)

@@ -2,13 +2,16 @@
 
 from __future__ import annotations
 
+import json
+from collections.abc import Iterator
+
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions.scalars import blank
 from ..functions.text import decode_base64, decode_base64url, decode_base64url_text, message_text
 from ..schemas import MESSAGES, MIME_NODE
-from ..session import cut_lineage
 
 
 def read_messages(spark: SparkSession, path: str) -> DataFrame:
@@ -109,86 +112,65 @@ def parse_mime(messages: DataFrame) -> DataFrame:
     )
 
 
-# Levels of a part tree that are opened inside the row, before what is left is looked at again.
-_LEVELS = 8
+# Messages that are opened between two handovers to the JVM.
+_OPENED = 256
+_PART = "part_path array<int>, filename string, data string, attachment_id string"
+
+
+def _text(value) -> str | None:
+    """A JSON value as the text a string field holds."""
+    return value if value is None or isinstance(value, str) else json.dumps(value)
+
+
+def parts_of(payload: str | None) -> Iterator[tuple[list[int], str, str | None, str | None]]:
+    """(path, filename, data, attachment id) of every part of a tree that has a name and data or an id.
+
+    Children of a part with a name and inline data are not visited. The tree is walked with a stack, whatever its depth; text that is no
+    JSON, or nested beyond what the parser reads, has no parts.
+    """
+    try:
+        start = json.loads(payload) if payload is not None else None
+    except (ValueError, RecursionError):
+        return
+    stack: list[tuple[list[int], object]] = [([], start)]
+    while stack:
+        path, node = stack.pop()
+        if not isinstance(node, dict):
+            continue
+        body = node.get("body")
+        body = body if isinstance(body, dict) else {}
+        name, data, stored = (_text(v) or None for v in (node.get("filename"), body.get("data"), body.get("attachmentId")))
+        if name and (data or stored):
+            yield path, name, data, stored
+        children = node.get("parts")
+        if isinstance(children, list) and not (name and data):
+            stack.extend(([*path, k], child) for k, child in reversed(list(enumerate(children))))
 
 
 def flatten_mime_parts(messages: DataFrame) -> DataFrame:
-    """Attachment parts of MIME trees (message_id, payload JSON), one row per part, however deep.
+    """Attachment parts of MIME trees (message_id, payload JSON), one row per part, however deep; see ``parts_of``.
 
-    Levels are opened inside the row, so a message needs no shuffle. Children of a part with a name and
-    inline data are not visited. Runs eagerly, once per eight levels: only trees that go on below are opened
-    further, with the path that leads to them. Malformed base64 gives null content and null attachment_id.
+    One lazy step without a shuffle. Malformed base64 gives null content and null attachment_id.
     """
-    start = messages.select(
-        "message_id",
-        F.array(F.struct(F.array().cast("array<int>").alias("path"), F.col("payload").alias("json"))).alias("level"),
-    )
-    done = None
-    while True:
-        found = cut_lineage(_open_levels(start))
-        parts = found.filter("unopened is null").drop("unopened")
-        done = parts if done is None else done.unionByName(parts)
-        below = found.filter("unopened is not null")
-        if below.isEmpty():
-            return done
-        start = below.select(
-            "message_id", F.array(F.struct(F.col("part_path").alias("path"), F.col("unopened").alias("json"))).alias("level")
-        )
-
-
-def _open_levels(messages: DataFrame) -> DataFrame:
-    """Parts of the next levels of (message_id, level), and the raw JSON of what lies below them."""
-    level = messages.withColumnRenamed("level", "_level")
-    found = []
-    nothing_below = F.array().cast("array<struct<path:array<int>,json:string>>")
-    for depth in range(_LEVELS):
-        opened = F.transform(
-            "_level",
-            lambda x: F.struct(x["path"].alias("path"), F.from_json(x["json"], MIME_NODE).alias("p")),
-        )
-        column = f"_d{depth}"
-        found.append(column)
-        children = F.transform(
-            column,
-            lambda x: F.when(
-                blank(x["p"]["filename"]) | blank(x["p"]["body"]["data"]),
-                F.transform(
-                    F.coalesce(x["p"]["parts"], F.array().cast("array<string>")),
-                    lambda c, i: F.struct(F.concat(x["path"], F.array(i)).alias("path"), c.alias("json")),
-                ),
-            ).otherwise(nothing_below),
-        )
-        level = level.withColumn(column, opened).withColumn("_level", F.flatten(children))
-
-    def is_part(x: Column) -> Column:
-        named = ~blank(x["p"]["filename"])
-        return named & (~blank(x["p"]["body"]["data"]) | ~blank(x["p"]["body"]["attachmentId"]))
-
-    nothing = F.lit(None).cast("string")
-
-    def row(x: Column) -> Column:
-        return F.struct(
-            x["path"].alias("part_path"),
-            x["p"]["filename"].alias("filename"),
-            F.nullif(x["p"]["body"]["data"], F.lit("")).alias("data"),
-            F.nullif(x["p"]["body"]["attachmentId"], F.lit("")).alias("attachment_id"),
-            nothing.alias("unopened"),
-        )
-
-    rest = F.transform(
-        "_level",
-        lambda x: F.struct(
-            x["path"].alias("part_path"), nothing.alias("filename"), nothing.alias("data"),
-            nothing.alias("attachment_id"), x["json"].alias("unopened"),
-        ),
-    )
-    parts = F.concat(*[F.transform(F.filter(c, is_part), row) for c in found], rest)
-    return level.select("message_id", F.explode(parts).alias("x")).select(
-        "message_id",
-        F.col("x.part_path").alias("part_path"),
-        F.col("x.filename").alias("filename"),
-        F.when(F.col("x.data").isNotNull(), decode_base64url(F.col("x.data"))).alias("content"),
-        F.when(F.col("x.data").isNull(), F.col("x.attachment_id")).alias("attachment_id"),
-        F.col("x.unopened").alias("unopened"),
+    rows = messages.select("message_id", F.col("payload").cast("string").alias("payload"))
+    key = rows.schema["message_id"].dataType.simpleString()
+    schema = f"message_id {key}, {_PART}"
+
+    def opened(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for at in range(0, batch.num_rows, _OPENED):
+                ids, payloads = (c.slice(at, _OPENED) for c in batch.columns)
+                found = [(k, *part) for k, payload in enumerate(payloads.to_pylist()) for part in parts_of(payload)]
+                if found:
+                    owner, *columns = zip(*found)
+                    kinds = (pa.list_(pa.int32()), pa.string(), pa.string(), pa.string())
+                    yield pa.RecordBatch.from_arrays(
+                        [ids.take(pa.array(owner)), *(pa.array(c, k) for c, k in zip(columns, kinds))],
+                        names=["message_id", "part_path", "filename", "data", "attachment_id"],
+                    )
+
+    return rows.mapInArrow(opened, schema).select(
+        "message_id", "part_path", "filename",
+        F.when(F.col("data").isNotNull(), decode_base64url(F.col("data"))).alias("content"),
+        F.when(F.col("data").isNull(), F.col("attachment_id")).alias("attachment_id"),
     )

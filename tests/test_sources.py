@@ -67,6 +67,20 @@ def test_mime_of_any_depth(spark):
     assert got == {("m", path, "deep.txt"), ("n", (2,), "a.txt"), ("n", (3, 0), "b.pdf"), ("n", (3, 0, 0), "c.txt")}
 
 
+def test_mime_is_lazy_at_depth_300_and_with_odd_values(spark):
+    node = {"filename": "deep.txt", "body": {"attachmentId": "a1"}}
+    for _ in range(300):
+        node = {"parts": [node]}
+    odd = {"parts": [1, None, "x", {"filename": 5, "body": {"data": b64url("N")}}, {"filename": "f", "body": []}, {"filename": "g", "body": None, "parts": {}}]}
+    rows = [("m", json.dumps(node)), ("n", json.dumps(odd)), ("o", "[" * 100_000), ("p", "{"), ("q", None), ("r", "3"), ("m", json.dumps(odd))]
+    mail = spark.createDataFrame(rows, "message_id string, payload string")
+    spark.sparkContext.setJobGroup("lazy", "lazy")
+    parts = messages.flatten_mime_parts(mail)
+    assert list(spark.sparkContext.statusTracker().getJobIdsForGroup("lazy")) == []
+    got = sorted((r.message_id, tuple(r.part_path), r.filename, r.content and bytes(r.content), r.attachment_id) for r in parts.collect())
+    assert got == [("m", (0,) * 300, "deep.txt", None, "a1"), ("m", (3,), "5", b"N", None), ("n", (3,), "5", b"N", None)]
+
+
 def test_malformed_base64_is_set_aside(spark):
     rows = [("1", [("a.pdf", b64("pdf")), ("b.pdf", "a"), ("c.pdf", "!!!!"), ("d.pdf", "cGRm\ncGRm")])]
     mail = spark.createDataFrame(rows, "message_id string, a array<struct<name:string,content_b64:string>>").selectExpr(
