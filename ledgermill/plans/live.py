@@ -14,6 +14,7 @@ from ..functions import sql
 from ..functions.scalars import label_category
 from ..operators import mail_model
 from ..operators import trackers as K
+from ..operators.inorder import post_in_order
 from ..operators.keyed_table import KeyedTable
 from ..operators.reconcile import reconcile
 from ..session import cut_lineage, fresh_path
@@ -394,3 +395,40 @@ def classify_trained(spark, sf):
     mail = desk_mail(spark, sf)
     model = mail_model.train_classifier(mail.filter(~mail_model.held_out(F.col("message_id"))))
     return mail_model.classify_trained(mail, model)
+
+
+# --- posting on top of what earlier batches posted ----------------------------------------------------------
+
+
+@query
+def stream_post_in_order(spark, sf):
+    """Drafts in three micro-batches, each posted in order on the bills and vendors that earlier ones made; some come again under new ids."""
+    orders = V.orders_with_customer(spark, sf)
+    key, numbered = F.col("o_orderkey"), (F.col("o_orderstatus") != "F") & (F.col("o_orderpriority") != "5-LOW")
+    copies = orders.withColumn("again", F.explode(F.array(F.lit(0), F.lit(1)))).filter((F.col("again") == 0) | numbered & (key % 10 == 0))
+    part = F.pmod(key + F.col("again"), F.lit(3))
+    drafts = copies.withColumn("part", part).select(
+        "part", F.concat(F.when(F.col("again") == 1, "again").otherwise(""), V.text("o_orderkey")).alias("message_id"),
+        (F.col("part") * _BATCH + key * 2 + F.col("again")).alias("arrival"),
+        F.concat_ws(" ", "c_mktsegment", F.lit("Works"), "c_nationkey").alias("vendor_display_name"),
+        F.when(F.col("o_orderpriority") != "5-LOW", F.concat(F.lit("INV-"), V.text("c_custkey"))).alias("invoice_number"),
+        F.date_format("o_orderdate", "MM/dd/yyyy").alias("invoice_date"),
+        F.col("o_totalprice").alias("total_amount"), F.col("o_totalprice").alias("lines_total"),
+        (F.col("o_orderstatus") == "F").alias("is_receipt"),
+    )
+    base = fresh_path(spark, "in-order")
+    no_bills = spark.createDataFrame([], "bill_id string, ord long, vendor_name string, txn_date string, doc_number string, total double")
+    handle = ingest.posting_sink(base, no_bills, V.vendors(spark, sf), post_in_order)
+    ingest.start_batches(_inbox(spark, drafts, "part", 3).drop("part"), handle, f"{base}/state").awaitTermination()
+    return ingest.read_checked(spark, base).select("message_id", "status", "duplicate_of", "duplicate_rule")
+
+
+add("stream_post_in_order", """o as (
+  select o_orderkey, o_custkey, again, o_orderstatus <> 'F' and o_orderpriority <> '5-LOW' numbered,
+    case again when 1 then 'again' else '' end || o_orderkey message_id, (o_orderkey + again) % 3 * 1099511627776 + o_orderkey * 2 + again arrival
+  from orders join customer on o_custkey = c_custkey, (values (0), (1)) c(again)
+  where again = 0 or o_orderstatus <> 'F' and o_orderpriority <> '5-LOW' and o_orderkey % 10 = 0
+), f as (select o_custkey, min(arrival) first, arg_min(message_id, arrival) first_id from o where numbered group by 1)""", """
+  select message_id, case when numbered and arrival > first then 'duplicate' else 'created' end status,
+    case when numbered and arrival > first then first_id end duplicate_of, case when numbered and arrival > first then 'number' end duplicate_rule
+  from o left join f using (o_custkey)""")
