@@ -414,13 +414,14 @@ add("nested_ledger_lines", ORDERS, NESTED, """
   union all select message_id, 2, cast(tax as decimal(18,4)), '31', 'Tax' from nested_t where tax > 0""")
 # An address finds the first customer one of whose addresses it contains or lies in.
 POSTABLE = """p as (
-  select cast(o_orderkey as varchar) message_id, o.*, s.s_name,
+  select cast(o_orderkey as varchar) message_id, o.*, s.s_name, s.s_suppkey,
     case when c_custkey % 4 = 0 then c_mktsegment || ' Works' else ' ' || s_name end vendor_text,
     case when o_orderpriority in ('4-NOT SPECIFIED', '5-LOW') then null else 'INV-' || o_orderkey end number,
     case when c_custkey % 11 <> 0 then o_totalprice + 0.004 end total,
-    lower('Deliver to ' || c_mktsegment || '   now') address,
+    lower('Deliver to ' || c_mktsegment || '  ' || n_name || ' now') address,
     strftime(o_orderdate, '%Y-%m-%d') iso
-  from o join supplier s on s.s_suppkey = o.c_custkey % 10 + 1),
+  from o join nation on n_nationkey = c_nationkey
+    join supplier s on s.s_suppkey = o.c_custkey % (select count(*) from supplier) + (select min(s_suppkey) from supplier)),
 a as (
   select c_custkey ord, lower(c_mktsegment || '  ' || n_name) addr from customer join nation on c_nationkey = n_nationkey
     where c_mktsegment <> 'FURNITURE'
@@ -441,7 +442,7 @@ resolved as (
     case o_orderstatus when 'F' then 'name' when 'O' then case when found.ord is not null then 'address' end end how
   from p left join found on p.o_orderstatus = 'O' and p.address = found.address),
 fresh as (
-  select p.*, cast(r.ord as varchar) customer_id, case when c_custkey % 4 = 0 then null else cast(c_custkey % 10 + 1 as varchar) end vendor_id,
+  select p.*, cast(r.ord as varchar) customer_id, case when c_custkey % 4 = 0 then null else cast(s_suppkey as varchar) end vendor_id,
     case when c_custkey % 4 = 0 then vendor_text else s_name end vendor_name,
     case when o_orderstatus = 'F' then 'Purchase' else 'Bill' end txn_type
   from p join resolved r using (message_id) left join hit using (message_id) where total > 0 and hit.k is null)"""

@@ -199,9 +199,12 @@ def nested_drafts(spark: SparkSession, sf_dir: str) -> DataFrame:
 def postable_drafts(spark: SparkSession, sf_dir: str) -> DataFrame:
     """One draft per order from a known or new vendor, some without a total; lines are in ``draft_lines``."""
     names = table(spark, sf_dir, "supplier").select("s_suppkey", "s_name")
-    # A few vendors own all orders, as the masters of every data set have at least ten.
-    orders = orders_with_customer(spark, sf_dir).withColumn("s_suppkey", F.col("c_custkey") % 10 + 1)
-    rows = keyed_join(orders, names, ["s_suppkey"], "inner")
+    # Customers buy from all suppliers in turn.
+    bounds = names.agg(F.count(F.lit(1)).alias("n"), F.min("s_suppkey").alias("least"))
+    supplier = F.col("c_custkey") % bounds.select("n").scalar() + bounds.select("least").scalar()
+    orders = orders_with_customer(spark, sf_dir).withColumn("s_suppkey", supplier)
+    nation = table(spark, sf_dir, "nation").select(F.col("n_nationkey").alias("c_nationkey"), "n_name")
+    rows = keyed_join(keyed_join(orders, names, ["s_suppkey"], "inner"), nation, ["c_nationkey"], "inner")
     priority, status = F.col("o_orderpriority"), F.col("o_orderstatus")
     drafts = rows.select(
         text("o_orderkey").alias("message_id"),
@@ -214,7 +217,7 @@ def postable_drafts(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.when(F.col("c_custkey") % 11 != 0, F.col("o_totalprice") + 0.004).alias("total_amount"),
         (status == "F").alias("is_receipt"),
         F.when(status == "F", F.col("c_name")).when(status == "P", F.upper("c_name")).alias("customer_name"),
-        F.concat(F.lit("Deliver to "), "c_mktsegment", F.lit("   now")).alias("job_site_address"),
+        F.concat(F.lit("Deliver to "), "c_mktsegment", F.lit("  "), "n_name", F.lit(" now")).alias("job_site_address"),
         "o_orderkey", priority.alias("priority"), "o_totalprice", "o_orderdate",
     )
     return keyed_join(drafts, draft_tax(spark, sf_dir), ["message_id"], "left")
