@@ -147,17 +147,6 @@ def read_posted(spark: SparkSession, base: str, part: str) -> DataFrame:
     return spark.read.option("basePath", f"{base}/ledger").parquet(f"{base}/ledger/*/{part}")
 
 
-def current_labels(labels: DataFrame, updates: DataFrame) -> DataFrame:
-    """Labels keyed by message after an upsert: the update with the highest (batch, seq) replaces the others.
-
-    Both have message_id, label, batch and seq.
-    """
-    columns = ["message_id", "label", "batch", "seq"]
-    rows = labels.select(columns).unionByName(updates.select(columns))
-    latest = F.max_by(F.struct("label", "batch", "seq"), F.struct("batch", "seq", "label"))
-    return rows.groupBy("message_id").agg(latest.alias("row")).select("message_id", "row.*")
-
-
 def duplicate_sink(
     base: str, bills: Callable[[], DataFrame], check: Callable[[DataFrame, DataFrame], DataFrame]
 ) -> Callable[[DataFrame, int], None]:

@@ -3,6 +3,7 @@ import json
 from pyspark.sql import functions as F
 
 from ledgermill.operators.inorder import post_in_order
+from ledgermill.operators.keyed_table import KeyedTable
 from ledgermill.streaming import ingest
 
 
@@ -98,5 +99,8 @@ def test_fan_out_handles_every_message_once(spark, tmp_path):
     assert read("tracker_invoice") == [(0, "a"), (1, "e")]
     labels = ingest.read_fanned(spark, base, "labels")
     update = spark.createDataFrame([("b", "insurance", 2, 1), ("d", "none", 0, 9)], "message_id string, label string, batch int, seq long")
-    now = {r.message_id: r.label for r in ingest.current_labels(labels, update).collect()}
+    table = KeyedTable(spark, f"{base}/current", "message_id string, label string, batch int, seq long", ["message_id"], 8)
+    table.upsert(labels, 0, ["batch", "seq"])
+    table.upsert(update, 1, ["batch", "seq"])
+    now = {r.message_id: r.label for r in table.read().collect()}
     assert now == {"a": "invoice", "b": "insurance", "c": "invoice", "d": "invoice", "e": "invoice", "f": "invoice"}
