@@ -93,6 +93,20 @@ def test_registers_equal_one_after_another_also_after_a_restart(spark):
     assert {rule for _, rule in got.values()} == {None, "number", "vendor_date_amount"}
 
 
+def test_registers_keep_one_state_per_bucket_however_many_keys(spark):
+    """Calls of state per micro-batch follow the buckets, not the numbers, vendors and days."""
+    base = fresh_path(spark, "buckets")
+    bills = [(f"b{k}", k, f"V{k}", "2026-01-02", f"N{k}", 10.0) for k in range(60)]
+    drafts = [(f"m{k}", 1000 + k, f"N{k}" if k % 2 else None, f"V{k}", "2026-01-02", 10.0) for k in range(200)]
+    put(spark, drafts, DRAFTS, f"{base}/in", 0)
+    stream = registers.check_stream(inbox(spark, f"{base}/in", DRAFTS), spark.createDataFrame(bills, BILLS), buckets=8)
+    query = registers.with_rocksdb(spark, lambda: ingest.start(stream, f"{base}/out", f"{base}/state"))
+    query.awaitTermination()
+    assert all(o["numRowsTotal"] <= 8 for o in query.lastProgress["stateOperators"])
+    got = {r.message_id: (r.duplicate_of, r.duplicate_rule) for r in spark.read.parquet(f"{base}/out").collect()}
+    assert got == checked_plainly(drafts, bills)
+
+
 @pytest.mark.parametrize("lifetime_ms,found", [(1500, None), (600_000, "s0")])
 def test_registers_forget_after_their_lifetime(spark, lifetime_ms, found):
     base, none = fresh_path(spark, "lifetime"), spark.createDataFrame([], BILLS)
