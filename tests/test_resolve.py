@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 from ledgermill.functions.similarity import ratio
 from ledgermill.operators.containment import first_host, first_probe_inside
 from ledgermill.operators.fuzzy import fuzzy_best
-from ledgermill.operators import resolve
+from ledgermill.operators import fuzzy, resolve
 
 
 def brute_best(probes, masters, t):
@@ -135,3 +135,20 @@ def test_resolve_customers(spark):
         "1": ("c1", "name"), "2": (None, None), "3": ("c2", "address"), "4": ("c1", "address"),
         "5": ("c2", "address"), "6": ("c4", "fuzzy"), "7": (None, None), "8": (None, None), "9": (None, None),
     }
+
+
+def test_characters_of_a_string_are_listed_once_not_per_token(spark):
+    prefixes = spark.createDataFrame([("abc", "b", ["ab", "bc"])], "s string, kind string, prefix array<string>")
+    plan = fuzzy._index(prefixes, "a")._jdf.queryExecution().optimizedPlan().toString()
+    # Below the explode, which repeats a string per token.
+    assert "Generate explode" in plan and "array_position" not in plan.split("Generate explode")[0]
+
+
+def test_masters_are_not_sent_to_executors_because_of_an_estimate(spark):
+    """A few probes meet many masters in both passes: what is broadcast is the probes' side."""
+    masters = spark.range(3000).select(F.format_string("Customer#%09d", "id").alias("b"), F.col("id").alias("ord"))
+    probes = spark.createDataFrame([("Customer#00000001x",), ("nobody at all",)], "a string")
+    best = fuzzy.fuzzy_best(probes, masters, 0.7)
+    plan = best._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("parquet") == 2  # both sides are read as written, none is a join still to be estimated
+    assert [(r.a, r.ord) for r in best.collect()] == [("Customer#00000001x", 1)]
