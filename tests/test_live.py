@@ -396,6 +396,26 @@ def test_many_copies_reconcile_by_number(spark):
     assert [r.bill_id for r in none] == [None] * 3
 
 
+def test_many_pages_take_few_tasks_and_appear_together(spark):
+    groups = feed._groups(range(30_001), 4)
+    assert len(groups) <= 256 and [p for g in groups for p in g.pages] == list(range(30_001))
+    assert [g.pages for g in feed._groups(range(5), 2)] == [[0, 1], [2, 3], [4]]
+    path = fresh_path(spark, "many")
+    rows = spark.range(900).select(
+        F.col("id").cast("string").alias("message_id"), F.when(F.col("id") % 2 == 0, "a\nb").alias("subject"),
+        F.floor(F.col("id") / 3).alias("page"),
+    )
+    feed.write_pages(rows.repartition(5), path)
+    # One file per page, and nothing of the writing is left in or beside the feed.
+    assert sorted(os.listdir(path)) == sorted(f"page={k}" for k in range(300))
+    assert {len(os.listdir(f"{path}/page={k}")) for k in range(300)} == {1}
+    assert [f for f in os.listdir(os.path.dirname(path)) if f.startswith(os.path.basename(path) + ".")] == []
+    feed.write_pages(rows.filter("page = 7").withColumn("message_id", F.lit("more")), path)  # added to a page that is there
+    got = feed.read_feed(spark, path, "message_id string, subject string, page long")
+    more = [("more", r.subject, 7) for r in rows.filter("page = 7").collect()]
+    assert sorted(map(str, map(tuple, got.collect()))) == sorted(map(str, [*map(tuple, rows.collect()), *more]))
+
+
 def test_numbers_in_groups(spark):
     rows = [(k % 3 if k % 4 else None, k) for k in range(1000)]
     got = number_in_groups(spark.createDataFrame(rows, "g int, k int"), ["g"], ["k"]).collect()
