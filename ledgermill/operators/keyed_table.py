@@ -64,6 +64,11 @@ class KeyedTable:
         """All rows of the latest version, or of the one with this number."""
         return self._read(list(self._manifest(version)["folders"].values()))
 
+    def in_buckets(self, touched: Sequence[int], version: int | None = None) -> DataFrame:
+        """All rows of some buckets."""
+        folders = self._manifest(version)["folders"]
+        return self._read([folders[str(b)] for b in touched if str(b) in folders])
+
     def held(self, keys: DataFrame, version: int | None = None) -> DataFrame:
         """Rows that agree with some row of ``keys`` in what decides the bucket; only the buckets of these are read."""
         manifest = self._manifest(version)

@@ -20,7 +20,7 @@ class Audit:
     """Group sizes by type, amount, date and party, and the number of duplicate groups per type, as two keyed tables.
 
     Both carry the number of the micro-batch as version. The change of the numbers of groups follows from the group sizes
-    of the version before and of the new one, for the batch's own keys only.
+    of the version before and of the new one, in the buckets that the batch touches.
     """
 
     def __init__(self, spark: SparkSession, path: str, buckets: int = 64):
@@ -29,9 +29,9 @@ class Audit:
         )
         self.summary = KeyedTable(spark, f"{path}/summary", "txn_type string, hard long, soft long", ["txn_type"], 1)
 
-    def _counted(self, keys: DataFrame, version: int | None) -> DataFrame:
-        """(txn_type, hard, soft): numbers of groups of more than one row among the batch's amounts and dates."""
-        rows = self.groups.held(keys, version) if version is not None else self.groups.read(-1)
+    def _counted(self, touched: list[int], version: int | None) -> DataFrame:
+        """(txn_type, hard, soft): numbers of groups of more than one row in the touched buckets."""
+        rows = self.groups.in_buckets(touched, version) if version is not None else self.groups.read(-1)
         soft = rows.groupBy(*_SOFT).agg(F.sum("n").alias("n"), F.count_if(F.col("n") > 1).alias("hard"))
         return soft.groupBy("txn_type").agg(F.sum("hard").alias("hard"), F.count_if(F.col("n") > 1).alias("soft"))
 
@@ -41,8 +41,10 @@ class Audit:
         counted = cut_lineage(counted.select(*[F.col(f.name).cast(f.dataType) for f in self.groups.schema]))
         self.groups.merge(counted, batch_id, lambda rows: rows.groupBy(*_HARD).agg(F.sum("n").alias("n")))
         earlier = [v for v in self.groups.versions() if v < batch_id]
-        before = self._counted(counted, earlier[-1] if earlier else None)
-        after = self._counted(counted, batch_id)
+        # Amounts and dates lie in one bucket each, and those the batch does not have count alike before and after.
+        touched = self.groups.rewritten(batch_id)
+        before = self._counted(touched, earlier[-1] if earlier else None)
+        after = self._counted(touched, batch_id)
         change = keyed_join(after, before.withColumnsRenamed({"hard": "h", "soft": "s"}), ["txn_type"], "left", null_safe=True).select(
             "txn_type", (F.col("hard") - F.coalesce("h", F.lit(0))).alias("hard"), (F.col("soft") - F.coalesce("s", F.lit(0))).alias("soft")
         )
