@@ -396,6 +396,29 @@ def test_many_copies_reconcile_by_number(spark):
     assert [r.bill_id for r in none] == [None] * 3
 
 
+def test_duplicate_sink_evaluates_a_batch_once(spark):
+    base, plans = fresh_path(spark, "once"), []
+
+    def check(batch, bills):
+        plans.append(batch._jdf.queryExecution().executedPlan().toString())
+        return batch.join(bills, "id").unionByName(batch)
+
+    ingest.duplicate_sink(base, lambda: spark.range(3), check)(spark.range(5).filter("id > 1"), 0)
+    assert "Scan parquet" in plans[0] and "Range" not in plans[0]
+    assert sorted(r.id for r in ingest.read_checked(spark, base).collect()) == [2, 2, 3, 4]
+
+
+def test_audit_counts_buckets_without_joining_the_batch(spark):
+    audit = Audit(spark, fresh_path(spark, "audit-plan"), 4)
+    rows = [("Bill", f"t{k}", float(k % 3), "2026-01-02", "A") for k in range(6)]
+    for batch_id in range(2):
+        audit.add(spark.createDataFrame(rows, "txn_type string, txn_id string, total_amt double, txn_date string, party string"), batch_id)
+    counted = audit._counted(audit.groups.rewritten(1), 1)
+    assert "Join" not in counted._jdf.queryExecution().optimizedPlan().toString()
+    assert [tuple(r) for r in audit.read(0).sort("strictness").collect()] == [("Bill", "hard", 3), ("Bill", "soft", 3)]
+    assert [tuple(r) for r in audit.read(1).sort("strictness").collect()] == [("Bill", "hard", 3), ("Bill", "soft", 3)]
+
+
 def test_many_pages_take_few_tasks_and_appear_together(spark):
     groups = feed._groups(range(30_001), 4)
     assert len(groups) <= 256 and [p for g in groups for p in g.pages] == list(range(30_001))
