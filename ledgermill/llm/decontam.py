@@ -30,6 +30,8 @@ from ledgermill.llm.frames import bitmap_of, cut, small_batches
 WINDOW, LITERAL, SHORTEST = 8, 3, 5
 #: Share of an item's windows that a contaminated document covers.
 COVERED = 0.5
+#: Bytes of text taken apart at a time: some hundred bytes are held per byte of it. A longer text is taken alone.
+_CHUNK = 1 << 18
 
 # Units of measure and money, read as such after a number.
 _UNITS = (
@@ -76,6 +78,18 @@ class Words(NamedTuple):
     fresh: np.ndarray
 
 
+def _index(data: np.ndarray) -> type:
+    """The smaller kind of whole number that counts all bytes."""
+    return np.int32 if len(data) < 1 << 31 else np.int64
+
+
+def _counted(which: np.ndarray) -> np.ndarray:
+    """How many hold before each place, and in all."""
+    out = np.zeros(len(which) + 1, _index(which))
+    np.cumsum(which, out=out[1:])
+    return out
+
+
 def templates(texts: pa.Array) -> Words:
     data, offsets = K.text_buffers(texts)
     # The capitals of Latin-1 end in 0x80 to 0x9E in UTF-8, their small letters 0x20 higher.
@@ -90,23 +104,26 @@ def templates(texts: pa.Array) -> Words:
         return Words(none, none, none, none, none, owner, np.zeros(0, bool))
     # Trim punctuation at both ends by the nearest inner byte.
     inner = _INNER[data]
-    at = np.arange(len(data))
-    before = np.maximum.accumulate(np.where(inner, at, -1))
-    after = np.minimum.accumulate(np.where(inner, at, len(data))[::-1])[::-1]
-    first, last = after[starts], before[ends - 1] + 1
+    at = np.arange(len(data), dtype=_index(data))
+    before = np.maximum.accumulate(np.where(inner, at, at.dtype.type(-1)))
+    last = before[ends - 1].astype(np.int64) + 1
+    del before
+    after = np.minimum.accumulate(np.where(inner, at, at.dtype.type(len(data)))[::-1])[::-1]
+    first = after[starts].astype(np.int64)
+    del after, at
     kept = (first < ends) & (last > starts)
     stops = _STOP[data[ends - 1]]
     # A line break also starts a sentence; so does the beginning of a text.
-    breaks = np.concatenate(([0], np.cumsum(data == 10)))
+    breaks = _counted(data == 10)
     fresh = np.ones(len(starts), bool)
     fresh[1:] = (owner[1:] != owner[:-1]) | stops[:-1] | (breaks[starts[1:]] > breaks[ends[:-1]])
     # What punctuation alone began still begins with the word after it.
     begun = np.cumsum(fresh)[kept]
     fresh = np.diff(begun, prepend=0) > 0
     starts, ends, owner = first[kept], last[kept], owner[kept]
-    digits = np.concatenate(([0], np.cumsum(_DIGIT[data])))
+    digits = _counted(_DIGIT[data])
     first_upper = upper[starts] | ((data[starts] == 0xC3) & upper[np.minimum(starts + 1, len(data) - 1)])
-    small = np.concatenate(([0], np.cumsum(_INNER[data] & ~_DIGIT[data] & ~upper & (data < 0x80))))
+    small = _counted(_INNER[data] & ~_DIGIT[data] & ~upper & (data < 0x80))
     value = K.run_hashes(data, starts, ends, _LOWERED)
     number = digits[ends] > digits[starts]
     unit = np.isin(value, _UNIT_HASHES) & ~number
@@ -153,7 +170,7 @@ def _item_windows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]
     names = ["item_id", "size", "windows", "solid", "is_solid", "exact"]
     kinds = [pa.int64(), pa.int32(), pa.int32(), pa.int32(), pa.bool_(), pa.bool_()]
     for batch in batches:
-        for part in K.chunks(batch, "text"):
+        for part in K.chunks(batch, "text", _CHUNK):
             words = templates(part.column("text"))
             edge = np.searchsorted(words.owner, np.arange(len(part) + 1))
             out: dict[str, list] = {k: [] for k in (*names, "at", "hash", "slots")}
@@ -188,7 +205,7 @@ def _window_batch(columns: list, names: list[str], out: dict) -> pa.RecordBatch:
 def _doc_windows(bits: np.ndarray, sizes: list[int]):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for part in K.chunks(batch, "text"):
+            for part in K.chunks(batch, "text", _CHUNK):
                 words = templates(part.column("text"))
                 owner = words.owner
                 keys = part.column("key").to_numpy(zero_copy_only=False)
@@ -232,14 +249,14 @@ def contaminated(docs: DataFrame, benchmark: DataFrame, key: str = "doc_id", cov
         benchmark.filter("item_id is not null")
         .select(F.col("item_id").cast("long").alias("item_id"), F.col("text").cast("string").alias("text"))
         .distinct()
-        .mapInArrow(_item_windows, f"{_ITEM_ROW}, {_WINDOW_ROW}")
+        .mapInArrow(K.tidy(_item_windows), f"{_ITEM_ROW}, {_WINDOW_ROW}")
     )
     # A bitmap of fixed size keeps windows that no item has out of the join; the join is exact.
     bits = bitmap_of(items.select("hash"))
     sizes = sorted(r["size"] for r in items.select("size").distinct().collect())
     texts = small_batches(docs).select(F.col(key).cast("long").alias("key"), F.col("text").cast("string").alias("text"))
     found = texts.filter("key is not null and text is not null").mapInArrow(
-        _doc_windows(bits, sizes), f"key long, {_WINDOW_ROW}"
+        K.tidy(_doc_windows(bits, sizes)), f"key long, {_WINDOW_ROW}"
     )
     item = ["item_id", "windows", "solid"]
     named = items.select(

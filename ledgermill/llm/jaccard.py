@@ -117,8 +117,8 @@ def whole_sets(texts: DataFrame, wanted: DataFrame) -> DataFrame:
 
     A bitmap of fixed size keeps most other texts from being hashed; the join is exact.
     """
-    bits = bitmap_of(wanted.select("doc_id").mapInArrow(_id_hash, "h long"))
-    sets = texts.mapInArrow(_whole_sets(bits), "node long, shingles array<long>")
+    bits = bitmap_of(wanted.select("doc_id").mapInArrow(K.tidy(_id_hash), "h long"))
+    sets = texts.mapInArrow(K.tidy(_whole_sets(bits)), "node long, shingles array<long>")
     return sets.join(wanted.select("node"), "node", "left_semi").dropDuplicates(["node"])
 
 
@@ -175,7 +175,7 @@ def _subsets(limit: int):
 def small_links(reps: DataFrame, limit: int) -> DataFrame:
     """Links (u, v) among sets up to ``limit``: sets sharing a listed subset, tied to one of them."""
     rows = reps.filter(F.col("n_shingles") <= limit).mapInArrow(
-        _subsets(limit), "key long, node long, low boolean, high boolean"
+        K.tidy(_subsets(limit)), "key long, node long, low boolean, high boolean"
     )
     lists = (
         rows.groupBy("key")
@@ -386,7 +386,7 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
     texts = small_batches(docs).select(
         F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text")
     )
-    sets = cut(texts.mapInArrow(_describe, _SET_ROW))
+    sets = cut(texts.mapInArrow(K.tidy(_describe), _SET_ROW))
     rows = cut(sets.select("doc_id", "n_shingles", "node"))
     usable = sets.filter("doc_id is not null and n_shingles > 0")
     # The row with the smallest id stands for its class; reduced before the shuffle.

@@ -231,7 +231,7 @@ def pieces(docs: DataFrame, path: str | None = None, capacity: int = CAPACITY, w
     )
     schema = "doc_id long, piece int, start long, length long, ids_crc32 long"
     return texts.mapInArrow(
-        _pieces(path, capacity, with_ids), schema + (", ids array<int>" if with_ids else "")
+        K.tidy(_pieces(path, capacity, with_ids)), schema + (", ids array<int>" if with_ids else "")
     )
 
 

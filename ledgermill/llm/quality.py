@@ -18,6 +18,7 @@ import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from ledgermill.llm import kernels as K
 from ledgermill.llm.frames import held_out, small_batches
 
 #: Labelled texts per class from which the dictionaries are trained, and on which the curve is fitted.
@@ -152,12 +153,12 @@ def train(docs: DataFrame, labels: DataFrame) -> tuple[tuple[bytes, bytes], floa
     dictionaries = {
         r["quality"]: bytes(r["made"])
         for r in small_batches(texts).filter("trains").groupBy("doc_id", "quality").agg(F.min("text").alias("text"))
-        .select("quality", "text").repartition(1).mapInArrow(_train_dictionaries, "quality int, made binary").collect()
+        .select("quality", "text").repartition(1).mapInArrow(K.tidy(_train_dictionaries), "quality int, made binary").collect()
     }
     pair = dictionaries.get(1, b""), dictionaries.get(0, b"")
     fitted = (
         texts.filter("fits").groupBy("doc_id", "quality").agg(F.min("text").alias("text")).select("quality", "text")
-        .mapInArrow(_differ(pair), "quality int, x double").collect()
+        .mapInArrow(K.tidy(_differ(pair)), "quality int, x double").collect()
     )
     x = {q: sorted(r["x"] for r in fitted if r["quality"] == q) for q in (1, 0)}
     if not x[1] or not x[0]:
@@ -185,7 +186,7 @@ def accepted(docs: DataFrame, labels: DataFrame) -> DataFrame:
         for batch in batches:
             yield batch.filter(pa.array(_values(batch.column("text"), model) >= 0.5))
 
-    return small_batches(docs).mapInArrow(run, docs.schema)
+    return small_batches(docs).mapInArrow(K.tidy(run), docs.schema)
 
 
 def score(docs: DataFrame, labels: DataFrame) -> DataFrame:
@@ -213,4 +214,4 @@ def score(docs: DataFrame, labels: DataFrame) -> DataFrame:
                 names=["doc_id", "held_out", "score", "predicted"],
             )
 
-    return small_batches(rows).mapInArrow(run, _COLUMNS)
+    return small_batches(rows).mapInArrow(K.tidy(run), _COLUMNS)
